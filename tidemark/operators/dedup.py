@@ -34,8 +34,15 @@ def dedup_hour(
     df: DataFrame, order: Sequence[str], keys: Sequence[str] = ("id",), ts: str = "ts"
 ) -> DataFrame:
     """First row to arrive per key and hour; adds ``hour_end`` in epoch milliseconds."""
-    staged = df.withColumn("hour_end", bucket_end(ts, duration_ms("1 hour")))
-    return first_per(staged, [*keys, "hour_end"], order)
+    return dedup_window(df, "1 hour", order, keys, ts).withColumnRenamed("window_end", "hour_end")
+
+
+def dedup_window(
+    df: DataFrame, window: str, order: Sequence[str], keys: Sequence[str], ts: str = "ts"
+) -> DataFrame:
+    """First row to arrive per key and tumbling window; adds ``window_end``."""
+    staged = df.withColumn("window_end", bucket_end(ts, duration_ms(window)))
+    return first_per(staged, [*keys, "window_end"], order)
 
 
 def dedup_bitmap(
@@ -122,14 +129,15 @@ def bloom_antifilter(
     df: DataFrame,
     seen: DataFrame,
     keys: Sequence[str],
-    expected: int = 1_000_000,
+    expected: int | None = None,
     fpp: float = 0.01,
 ) -> DataFrame:
     """Rows whose key is surely not in ``seen``, plus none that is.
 
     Of the unseen rows a share of about ``fpp`` is lost while ``seen`` holds at most
-    ``expected`` distinct keys.
+    ``expected`` distinct keys; the default counts its rows, which is never too few.
     """
+    expected = seen.count() if expected is None else expected
     words, k = hashing.word_filter_shape(expected, fpp)
     marked = bloom_mark(df, bloom_words(seen, keys, words, k), keys, words, k, "_seen")
     return marked.filter(~F.col("_seen")).drop("_seen")
@@ -140,7 +148,7 @@ def bloom_dedup(
     seen: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    expected: int = 1_000_000,
+    expected: int | None = None,
     fpp: float = 0.01,
 ) -> DataFrame:
     """First row per key of ``df`` whose key was not seen before, by bloom filter."""

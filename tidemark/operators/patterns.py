@@ -56,6 +56,35 @@ def times(
     return matched.filter(last_us - epoch_us(et) < duration_ms(within) * 1000)
 
 
+def times_timed_out(
+    df: DataFrame,
+    condition: Column,
+    order: Sequence[str],
+    at_most: int,
+    within: str,
+    keys: Sequence[str] = (),
+    et: str = "et",
+    rows_per_task: int | None = None,
+) -> DataFrame:
+    """Starts of runs that the bound runs out on before ``at_most`` events.
+
+    ``matched_count`` is how far the run came, the start included.
+    """
+    run = ordered.bounded_window(
+        df.filter(condition),
+        keys,
+        order,
+        lambda w: {"_run": F.collect_list(epoch_us(et)).over(w.rowsBetween(0, at_most - 1))},
+        following=at_most - 1,
+        rows_per_task=rows_per_task,
+    )
+    bound = epoch_us(et) + duration_ms(within) * 1000
+    counted = run.withColumn(
+        "matched_count", F.size(F.filter("_run", lambda us: us < bound))
+    )
+    return counted.filter(F.col("matched_count") < at_most).drop("_run")
+
+
 def _successor(
     df: DataFrame,
     second: Column,
