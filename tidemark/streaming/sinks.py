@@ -154,4 +154,4 @@ def run_to_table(df: DataFrame, mode: str = "append") -> DataFrame:
     else:
         writer = each_batch(df, FanOut({f"{base}/data": lambda b: b}), f"{base}/checkpoint", mode)
     drain(writer)
-    return spark.read.schema(df.schema).parquet(f"{base}/data")
+    return spark.read.schema(df.schema).parquet(f"{base}/data").select(*df.columns)

@@ -7,7 +7,7 @@ computed over both with array operations, and a new tail is kept.  The tail is w
 the next rows still need (the last ten rows, one time frame, one total), so state
 stays bounded, and both lists are in the checkpointed state store.
 
-Inputs carry their event time a second time as ``_us``, microseconds since the
+Inputs carry their event time a second time as ``event_us``, microseconds since the
 epoch, which keeps time zones out of the Python side.
 """
 
@@ -26,7 +26,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidemark import session
 from tidemark.functions.time import duration_ms, epoch_us
 
-US = "_us"
+# Spark renames columns that start with an underscore on their way to Python.
+US = "event_us"
 
 
 def _records(frame: pd.DataFrame, schema: T.StructType) -> list[tuple]:
@@ -92,11 +93,11 @@ class InEventOrder(StatefulProcessor):
     ) -> Iterator[pd.DataFrame]:
         earliest: int | None = None
         for batch in rows:
-            records = _records(batch, self.rows)
-            if records:
-                self.pending.appendList(records)
-                first = int(batch[US].min())
-                earliest = first if earliest is None else min(earliest, first)
+            if batch.empty:
+                continue
+            self.pending.appendList(_records(batch, self.rows))
+            first = int(batch[US].min())
+            earliest = first if earliest is None else min(earliest, first)
         if earliest is not None:
             self._wake_at(earliest)
         return iter(())
@@ -259,8 +260,8 @@ class Succession(InEventOrder):
     def compute(self, tail, ready):
         both = pd.concat([tail, ready], ignore_index=True)
         us = both[US].to_numpy(dtype=np.int64)
-        opens = both["_is_first"].to_numpy(dtype=bool)[:-1]
-        meets = both["_is_second"].to_numpy(dtype=bool)[1:]
+        opens = both["opens_match"].to_numpy(dtype=bool)[:-1]
+        meets = both["meets_match"].to_numpy(dtype=bool)[1:]
         in_time = us[1:] - us[:-1] < self.horizon_ms * 1000
         starts = both.iloc[:-1]
         matched = starts[opens & in_time & meets].assign(
@@ -268,7 +269,7 @@ class Succession(InEventOrder):
         )
         late = starts[opens & ~in_time].assign(kind="timeout", next_us=None)
         last = both.iloc[-1:]
-        keep = last if bool(last["_is_first"].iloc[0]) else last.iloc[0:0]
+        keep = last if bool(last["opens_match"].iloc[0]) else last.iloc[0:0]
         return pd.concat([matched, late], ignore_index=True), keep
 
     def expire(self, tail, watermark_us):
@@ -351,7 +352,7 @@ def _apply(
     if keys:
         staged, by = df, list(keys)
     else:
-        staged, by = df.withColumn("_all", F.lit(0)), ["_all"]
+        staged, by = df.withColumn("all_rows", F.lit(0)), ["all_rows"]
     helpers = flags or {}
     columns = list(dict.fromkeys([*by, *order, *payload]))
     staged = staged.select(
@@ -457,8 +458,8 @@ def succession(
         {"kind": "STRING", "next_us": "BIGINT"},
         lambda rows, out: Succession(rows, order, out, duration_ms(within)),
         {
-            "_is_first": F.coalesce(first, F.lit(False)),
-            "_is_second": F.coalesce(second, F.lit(False)),
+            "opens_match": F.coalesce(first, F.lit(False)),
+            "meets_match": F.coalesce(second, F.lit(False)),
         },
     )
     return found.withColumn("next_et", F.timestamp_micros("next_us")).drop("next_us")
