@@ -22,6 +22,15 @@ def _integer(text: Column, data_type: str) -> Column:
     return F.when(text.rlike(_INTEGER_TEXT), text.try_cast(data_type))
 
 
+def _pinned(parsed: Column) -> Column:
+    """A parse that is evaluated once per message.
+
+    Catalyst copies a parse into every filter on its fields.  It moves no filter
+    below a generator, so the parse becomes the one row of one.
+    """
+    return F.explode(F.array(parsed))
+
+
 def _csv_field(parts: Column, field: T.StructField, position: int) -> Column:
     text = F.get(parts, F.lit(position))
     if isinstance(field.dataType, T.StringType):
@@ -40,8 +49,9 @@ def decode_csv(
     names = schema.fieldNames()
     width = len(names)
     parts = F.split(F.regexp_replace(F.col(value), ",+$", ""), ",")
-    arity = F.size(parts) == width if exact_arity else F.size(parts) >= width
-    staged = df.withColumn("_parts", parts)
+    found = F.size("_parts")
+    arity = found == width if exact_arity else found >= width
+    staged = df.withColumn("_parts", _pinned(parts))
     fields = {
         field.name: _csv_field(F.col("_parts"), field, i)
         for i, field in enumerate(schema.fields)
@@ -76,7 +86,7 @@ def decode_json(
     """
     names = schema.fieldNames()
     needed = names if required is None else list(required)
-    parsed = df.withColumn("_message", F.from_json(F.col(value), schema))
+    parsed = df.withColumn("_message", _pinned(F.from_json(F.col(value), schema)))
     complete = F.col("_message").isNotNull()
     for name in needed:
         complete = complete & F.col(f"_message.{name}").isNotNull()
@@ -113,15 +123,15 @@ def decode_command_log(df: DataFrame, value: str = "value") -> DataFrame:
 def strict_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """The declared fields of JSON messages; a bad or incomplete one fails the job."""
     parsed = F.from_json(F.col(value), schema, {"mode": "FAILFAST"})
-    staged = df.select(parsed.alias("_message"))
-    return staged.select(
-        *[
-            F.coalesce(
-                F.col(f"_message.{field.name}"),
-                F.raise_error(F.lit(f"missing field: {field.name}")).cast(field.dataType),
-            ).alias(field.name)
-            for field in schema.fields
-        ]
+    staged = df.select(_pinned(parsed).alias("_message"))
+    message = F.col("_message")
+    # One check for the whole message: pruning an unused field must not lift it.
+    checked: Column = message
+    for field in schema.fields:
+        missing = F.raise_error(F.lit(f"missing field: {field.name}")).cast(schema)
+        checked = F.when(message[field.name].isNull(), missing).otherwise(checked)
+    return staged.select(checked.alias("_checked")).select(
+        *[F.col(f"_checked.{name}").alias(name) for name in schema.fieldNames()]
     )
 
 

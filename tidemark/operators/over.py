@@ -44,7 +44,8 @@ def over_range_unbounded(
 ) -> DataFrame:
     """Sum over everything up to the current time, rows of equal time included."""
     _require_exact(df, value)
-    if not ordered.chunks_needed(df, keys, rows_per_task):
+    chunks = ordered.chunks_needed(df, keys, rows_per_task)
+    if not chunks:
         frame = (
             Window.partitionBy(*keys)
             .orderBy(et)
@@ -52,7 +53,9 @@ def over_range_unbounded(
         )
         return df.withColumn(column, F.sum(value).over(frame))
     moments = df.groupBy(*keys, et).agg(F.sum(value).alias("_v"))
-    totals = ordered.running_total(moments, keys, [et], {column: F.col("_v")}, rows_per_task)
+    totals = ordered.running_total(
+        moments, keys, [et], {column: F.col("_v")}, chunks=chunks
+    )
     return match_moments(df, totals.drop("_v"), [*keys, et])
 
 
@@ -67,7 +70,8 @@ def over_range_time(
 ) -> DataFrame:
     """Sum over the time frame that ends now and reaches ``length`` back, inclusive."""
     _require_exact(df, value)
-    if not ordered.chunks_needed(df, keys, rows_per_task):
+    chunks = ordered.chunks_needed(df, keys, rows_per_task)
+    if not chunks:
         framed = with_frame(
             df,
             keys,
@@ -79,7 +83,7 @@ def over_range_time(
             "_sum", "_rows", "_us"
         )
     timed = df.withColumn("_us", epoch_us(et))
-    sums = frame_totals(timed, keys, "_us", F.sum(value), F.count(value), length, rows_per_task)
+    sums = frame_totals(timed, keys, "_us", F.sum(value), F.count(value), length, chunks)
     result = sums.select(
         *keys, "_us", F.when(F.col("_frame_rows") > 0, F.col("_frame_sum")).alias(column)
     )
@@ -129,7 +133,7 @@ def frame_totals(
     total: Column,
     rows: Column,
     length: str,
-    rows_per_task: int | None = None,
+    chunks: int,
 ) -> DataFrame:
     """Sum and row count of the time frame at each moment, for keys of any size.
 
@@ -166,7 +170,7 @@ def frame_totals(
         keys,
         [us],
         {"_frame_sum": F.col("_sum"), "_frame_rows": F.col("_rows")},
-        rows_per_task,
+        chunks=2 * chunks,
     ).drop("_sum", "_rows")
 
 

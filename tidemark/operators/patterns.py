@@ -160,10 +160,9 @@ def repeat_alert(
     Adds ``cnt``, the rows in the frame, and ``first_task``, the task of its first row.
     ``order`` must start with ``et``.
     """
-    if ordered.chunks_needed(df, keys, rows_per_task):
-        return _repeat_alert_in_chunks(
-            df, keys, order, task, within, at_least, et, rows_per_task
-        )
+    chunks = ordered.chunks_needed(df, keys, rows_per_task)
+    if chunks:
+        return _repeat_alert_in_chunks(df, keys, order, task, within, at_least, et, chunks)
     counted = with_frame(df, keys, et, within, {"cnt": F.lit(1).cast("long")})
     return _with_frame_start(counted, keys, order, task, within, at_least)
 
@@ -211,14 +210,14 @@ def _repeat_alert_in_chunks(
     within: str,
     at_least: int,
     et: str,
-    rows_per_task: int | None,
+    chunks: int,
 ) -> DataFrame:
     """Number the rows of a key; the frame's first row is then found by its number."""
     one = F.lit(1).cast("long")
     timed = df.withColumn("_us", epoch_us(et))
-    numbered = ordered.running_total(timed, keys, order, {"_number": one}, rows_per_task)
+    numbered = ordered.running_total(timed, keys, order, {"_number": one}, chunks=chunks)
     frames = frame_totals(
-        timed, keys, "_us", F.sum(one), F.count(F.lit(1)), within, rows_per_task
+        timed, keys, "_us", F.sum(one), F.count(one), within, chunks
     ).select(*keys, "_us", F.col("_frame_rows").alias("cnt"))
     ends = numbered.groupBy(*keys, "_us").agg(F.max("_number").alias("_last"))
     moments = match_moments(ends, frames.filter(F.col("cnt") >= at_least), [*keys, "_us"])

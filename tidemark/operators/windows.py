@@ -5,13 +5,14 @@ All of them run on batch tables and on watermarked streams.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import duration_ms
 from tidemark.plans import ordered
+from tidemark.session import checkpointed
 
 
 def tumble(
@@ -40,47 +41,90 @@ def session(
     et: str,
     gap: str,
     keys: Sequence[str],
-    aggregates: Sequence[Column],
+    aggregates: Mapping[str, tuple[str, str]],
     tie: Sequence[str] = (),
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Aggregate per key and session; events exactly one gap apart share a session.
 
-    Spark's session operator sorts all sessions of a key in one task.  A batch table
-    with a hot key is cut into chunks instead: session starts are flagged, numbered
-    by a running total and aggregated by number.  ``tie`` orders rows of equal time.
+    ``aggregates`` maps a result column to a function (count, sum, min or max) and
+    its input column.  Spark's session operator sorts all sessions of a key in one
+    task, so a batch table with a hot key is cut into chunks instead; ``tie`` then
+    orders rows of equal time.
     """
     if not df.isStreaming:
         chunks = ordered.chunks_needed(df, keys, rows_per_task)
         if chunks:
-            return _session_in_chunks(df, et, gap, keys, aggregates, [et, *tie], chunks)
+            narrow = df.select(
+                *dict.fromkeys([*keys, et, *tie, *(c for _, c in aggregates.values())])
+            )
+            cut = ordered.into_chunks(narrow, keys, [et, *tie], chunks)
+            return _session_in_chunks(cut, et, gap, keys, aggregates, [et, *tie])
     grouped = df.groupBy(*keys, F.session_window(F.col(et), gap).alias("_w"))
-    return _unpack(grouped.agg(*aggregates), keys)
+    return _unpack(
+        grouped.agg(*[getattr(F, f)(c).alias(n) for n, (f, c) in aggregates.items()]), keys
+    )
 
 
 def _session_in_chunks(
-    df: DataFrame,
+    cut: DataFrame,
     et: str,
     gap: str,
     keys: Sequence[str],
-    aggregates: Sequence[Column],
+    aggregates: Mapping[str, tuple[str, str]],
     order: Sequence[str],
-    chunks: int,
 ) -> DataFrame:
+    """Sessions inside each chunk, then merge those that touch a chunk border.
+
+    Only the first and the last session of a (key, chunk) can continue elsewhere, so
+    the second step sees at most two rows per chunk.
+    """
     length = F.expr(f"INTERVAL '{duration_ms(gap) / 1000:.3f}' SECOND")
-    cut = ordered.into_chunks(df, keys, order, chunks)
-    flagged = ordered.bounded_in_chunks(
-        cut, keys, order, lambda w: {"_before": F.lag(et).over(w)}, preceding=1, following=0
+
+    def numbered(rows: DataFrame, by: Sequence[str], start: str, end: str, sort: Sequence[str]) -> DataFrame:
+        ordered_rows = Window.partitionBy(*by).orderBy(*sort)
+        before = F.lag(end).over(ordered_rows)
+        opens = rows.withColumn(
+            "_opens", F.when(before.isNull() | (F.col(start) > before + length), 1).otherwise(0)
+        )
+        running = ordered_rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return opens.withColumn("_session", F.sum("_opens").over(running))
+
+    by_chunk = [*keys, ordered.CHUNK]
+    local = (
+        numbered(cut, by_chunk, et, et, order)
+        .groupBy(*by_chunk, "_session")
+        .agg(
+            F.min(et).alias("w_start"),
+            F.max(et).alias("_last"),
+            *[getattr(F, f)(c).alias(n) for n, (f, c) in aggregates.items()],
+        )
     )
-    opens = F.col("_before").isNull() | (F.col(et) > F.col("_before") + length)
-    numbered = ordered.running_in_chunks(
-        flagged, keys, order, {"_session": F.when(opens, 1).otherwise(0)}
+    in_chunk = Window.partitionBy(*by_chunk)
+    pieces = checkpointed(
+        local.withColumn(
+            "_border",
+            (F.col("_session") == 1) | (F.col("_session") == F.max("_session").over(in_chunk)),
+        )
     )
-    grouped = numbered.groupBy(*keys, "_session").agg(
-        F.min(et).alias("w_start"), (F.max(et) + length).alias("w_end"), *aggregates
+    results = [*keys, "w_start", (F.col("_last") + length).alias("w_end"), *aggregates]
+    merge = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+    joined = (
+        numbered(
+            pieces.filter("_border").drop("_session"),
+            keys,
+            "w_start",
+            "_last",
+            ["w_start", "_last", ordered.CHUNK],
+        )
+        .groupBy(*keys, "_session")
+        .agg(
+            F.min("w_start").alias("w_start"),
+            F.max("_last").alias("_last"),
+            *[merge[f](n).alias(n) for n, (f, _) in aggregates.items()],
+        )
     )
-    results = [c for c in grouped.columns if c not in {*keys, "_session", "w_start", "w_end"}]
-    return grouped.select(*keys, "w_start", "w_end", *results)
+    return pieces.filter("NOT _border").select(*results).unionByName(joined.select(*results))
 
 
 def _unpack(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -256,7 +256,7 @@ def retract_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def retract_count_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = tables.rates(spark, sf_dir)
+    rates = tables.rates(spark, sf_dir).select("event_id", "hbdm", "num")
     return changelog.retract_count(rates, "hbdm", ARRIVAL, rows_per_task=SPLIT_ROWS)
 
 
@@ -287,7 +287,7 @@ def _sessions(spark: SparkSession, sf_dir: str, rows_per_task: int | None = None
         "et",
         "30 minutes",
         ["hbdm"],
-        [F.count("num").alias("cnt_num")],
+        {"cnt_num": ("count", "num")},
         ARRIVAL,
         rows_per_task,
     )
@@ -321,29 +321,33 @@ def sql_session(spark: SparkSession, sf_dir: str) -> DataFrame:
 # OVER frames
 
 
+def _frame_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.rates(spark, sf_dir).select("event_id", "et", "hbdm", "num")
+
+
 def _framed(df: DataFrame) -> DataFrame:
     return df.select("event_id", "hbdm", "num", "sum_num")
 
 
 @query
 def over_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _framed(over.over_rows(tables.rates(spark, sf_dir), ["hbdm"], IN_TIME, "num", 10))
+    return _framed(over.over_rows(_frame_input(spark, sf_dir), ["hbdm"], IN_TIME, "num", 10))
 
 
 @query
 def over_rows_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = tables.rates(spark, sf_dir)
+    rates = _frame_input(spark, sf_dir)
     return _framed(over.over_rows(rates, ["hbdm"], IN_TIME, "num", 10, rows_per_task=SPLIT_ROWS))
 
 
 @query
 def over_range_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _framed(over.over_range_unbounded(tables.rates(spark, sf_dir), ["hbdm"], "et", "num"))
+    return _framed(over.over_range_unbounded(_frame_input(spark, sf_dir), ["hbdm"], "et", "num"))
 
 
 @query
 def over_range_unbounded_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = tables.rates(spark, sf_dir)
+    rates = _frame_input(spark, sf_dir)
     return _framed(
         over.over_range_unbounded(rates, ["hbdm"], "et", "num", rows_per_task=SPLIT_ROWS)
     )
@@ -351,13 +355,13 @@ def over_range_unbounded_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def over_range_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = tables.rates(spark, sf_dir)
+    rates = _frame_input(spark, sf_dir)
     return _framed(over.over_range_time(rates, ["hbdm"], "et", "num", "6 hours"))
 
 
 @query
 def over_range_time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = tables.rates(spark, sf_dir)
+    rates = _frame_input(spark, sf_dir)
     return _framed(
         over.over_range_time(rates, ["hbdm"], "et", "num", "6 hours", rows_per_task=SPLIT_ROWS)
     )
@@ -505,7 +509,7 @@ def cep_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cep_times_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = tables.rates(spark, sf_dir)
+    rates = _frame_input(spark, sf_dir)
     return _runs(
         patterns.times(
             rates, _is("purchase"), IN_TIME, 5, 6, events=["event_id"], rows_per_task=500
@@ -578,7 +582,7 @@ def retry_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def retry_alert_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = tables.rates(spark, sf_dir)
+    rates = _frame_input(spark, sf_dir)
     return _alerts(
         patterns.repeat_alert(
             rates, ["hbdm"], IN_TIME, "event_id", "1 hour", rows_per_task=SPLIT_ROWS

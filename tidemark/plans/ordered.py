@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from tidemark import session
 
 CHUNK = "_chunk"
-_POSITION = "_position"
-_SIZE = "_size"
+_INNER = "_inner"
+_END = "_end"
 _SEED = "_seed"
 
 Build = Callable[[WindowSpec], Mapping[str, Column]]
@@ -94,21 +94,21 @@ def bounded_in_chunks(
     each end leaves no gap inside the reach of a row that needs it.
     """
     reach = preceding + following
-    local = Window.partitionBy(*keys, CHUNK)
-    numbered = cut.withColumns(
+    local = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    one = F.lit(1)
+    # A lag or lead that finds no row tells how close the chunk border is.
+    marked = cut.withColumns(
         {
-            _POSITION: F.row_number().over(local.orderBy(*order)),
-            _SIZE: F.count(F.lit(1)).over(local),
+            _INNER: F.lag(one, preceding).over(local).isNotNull()
+            & F.lead(one, following).over(local).isNotNull(),
+            _END: F.lag(one, reach).over(local).isNull()
+            | F.lead(one, reach).over(local).isNull(),
         }
     )
-    from_end = F.col(_SIZE) - F.col(_POSITION)
-    is_inner = (F.col(_POSITION) > preceding) & (from_end >= following)
-    inner = numbered.withColumns(dict(build(local.orderBy(*order)))).filter(is_inner)
-    ends = numbered.filter((F.col(_POSITION) <= reach) | (from_end < reach))
-    outer = ends.withColumns(
-        dict(build(Window.partitionBy(*keys).orderBy(*order)))
-    ).filter(~is_inner)
-    return inner.unionByName(outer).drop(_POSITION, _SIZE)
+    inner = marked.withColumns(dict(build(local))).filter(F.col(_INNER))
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    outer = marked.filter(F.col(_END)).withColumns(dict(build(whole))).filter(~F.col(_INNER))
+    return inner.unionByName(outer).drop(_INNER, _END)
 
 
 def running_total(
@@ -117,9 +117,14 @@ def running_total(
     order: Sequence[str],
     values: Mapping[str, Column],
     rows_per_task: int | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
-    """Add running sums from the first row of the key up to the current one."""
-    chunks = chunks_needed(df, keys, rows_per_task)
+    """Add running sums from the first row of the key up to the current one.
+
+    Pass ``chunks`` when the number is already known, to save the measuring.
+    """
+    if chunks is None:
+        chunks = chunks_needed(df, keys, rows_per_task)
     if not chunks:
         running = (
             Window.partitionBy(*keys)
