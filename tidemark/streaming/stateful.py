@@ -30,8 +30,16 @@ from tidemark.functions.time import duration_ms, epoch_us
 US = "event_us"
 
 
+def _as_sent(df: DataFrame, name: str) -> Column:
+    """A column as it travels to Python: pandas would round integers beside a null."""
+    field = df.schema[name]
+    if field.nullable and isinstance(field.dataType, T.IntegralType):
+        return F.col(name).cast("string").alias(name)
+    return F.col(name)
+
+
 def _records(frame: pd.DataFrame, schema: T.StructType) -> list[tuple]:
-    """Rows of a batch as plain tuples in schema order, with ``None`` for null."""
+    """Rows of a batch as plain tuples of the schema's types, with ``None`` for null."""
     columns = []
     for field in schema.fields:
         values = frame[field.name]
@@ -299,7 +307,10 @@ class RepeatAlert(InEventOrder):
 class Changelog(StatefulProcessor):
     """Old and new running count for every arriving row; the state is one count."""
 
-    def __init__(self, value: str, order: Sequence[str], output: T.StructType) -> None:
+    def __init__(
+        self, rows: T.StructType, value: str, order: Sequence[str], output: T.StructType
+    ) -> None:
+        self.rows = rows
         self.value = value
         self.order = list(order)
         self.output = output
@@ -308,10 +319,10 @@ class Changelog(StatefulProcessor):
         self.count = handle.getValueState("count", "n BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        batches = [b for b in rows if len(b)]
-        if not batches:
+        records = [r for batch in rows if not batch.empty for r in _records(batch, self.rows)]
+        if not records:
             return iter(())
-        arrived = pd.concat(batches, ignore_index=True).sort_values(
+        arrived = _frame(records, self.rows.fieldNames()).sort_values(
             self.order, ignore_index=True
         )
         known = self.count.exists()
@@ -332,6 +343,20 @@ class Changelog(StatefulProcessor):
         pass
 
 
+def _groups(keys: Sequence[str]) -> dict[str, Column]:
+    """Grouping columns without nulls, one constant group when there is no key.
+
+    A null in a numeric key reaches Python as NaN, which equals no other row's.
+    """
+    if not keys:
+        return {"all_rows": F.lit(0)}
+    groups: dict[str, Column] = {}
+    for i, key in enumerate(keys):
+        groups[f"group_{i}"] = F.coalesce(F.col(key).cast("string"), F.lit(""))
+        groups[f"absent_{i}"] = F.col(key).isNull()
+    return groups
+
+
 def _apply(
     df: DataFrame,
     keys: Sequence[str],
@@ -349,19 +374,23 @@ def _apply(
     """
     session.ship_package(df.sparkSession)
     session.use_rocksdb_state(df.sparkSession)
-    if keys:
-        staged, by = df, list(keys)
-    else:
-        staged, by = df.withColumn("all_rows", F.lit(0)), ["all_rows"]
     helpers = flags or {}
-    columns = list(dict.fromkeys([*by, *order, *payload]))
-    staged = staged.select(
-        et, epoch_us(et).alias(US), *columns, *[c.alias(n) for n, c in helpers.items()]
+    columns = list(dict.fromkeys([*keys, *order, *payload]))
+    groups = _groups(keys)
+    staged = df.select(
+        et,
+        epoch_us(et).alias(US),
+        *[_as_sent(df, c) for c in columns],
+        *[c.alias(n) for n, c in {**helpers, **groups}.items()],
+    )
+    rows = T.StructType(
+        [T.StructField(US, T.LongType())]
+        + [df.schema[c] for c in columns]
+        + [T.StructField(n, T.BooleanType()) for n in helpers]
     )
-    rows = T.StructType([f for f in staged.schema.fields if f.name != et])
     added = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in extra.items()))
     output = T.StructType([f for f in rows.fields if f.name not in helpers] + added.fields)
-    result = staged.groupBy(*by).transformWithStateInPandas(
+    result = staged.groupBy(*groups).transformWithStateInPandas(
         statefulProcessor=make(rows, output),
         outputStructType=output,
         outputMode="append",
@@ -370,7 +399,7 @@ def _apply(
     return result.select(
         *keys,
         F.timestamp_micros(US).alias(et),
-        *[c for c in columns if c not in by],
+        *[c for c in columns if c not in keys],
         *extra,
     )
 
@@ -485,13 +514,18 @@ def retract_count(df: DataFrame, key: str, order: Sequence[str], value: str = "n
     """Every change of the running count per key, in order of arrival."""
     session.ship_package(df.sparkSession)
     session.use_rocksdb_state(df.sparkSession)
-    staged = df.select(key, value, *order)
+    groups = _groups([key])
+    columns = list(dict.fromkeys([key, value, *order]))
+    rows = df.select(*columns).schema
+    staged = df.select(
+        *[_as_sent(df, c) for c in columns], *[c.alias(n) for n, c in groups.items()]
+    )
     added = T.StructType.fromDDL("acc BOOLEAN, cnt_num BIGINT")
     output = T.StructType(
-        [added["acc"], staged.schema[key], added["cnt_num"], *[staged.schema[c] for c in order]]
+        [added["acc"], rows[key], added["cnt_num"], *[rows[c] for c in order]]
     )
-    return staged.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=Changelog(value, order, output),
+    return staged.groupBy(*groups).transformWithStateInPandas(
+        statefulProcessor=Changelog(rows, value, order, output),
         outputStructType=output,
         outputMode="update",
         timeMode="none",
