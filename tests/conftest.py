@@ -17,7 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    spark = session.local_session(4, shuffle_partitions=4, memory="4g")
+    spark = session.local_session(4, shuffle_partitions=2, memory="4g")
     spark.sparkContext.setLogLevel("OFF")
     yield spark
     spark.stop()

@@ -74,7 +74,9 @@ def test_over_range_unbounded(rates, split):
     for rows in GROUPS.values():
         for row in rows:
             expected[row[0]] = fixtures.total(r[3] for r in rows if r[2] <= row[2])
-    got = over.over_range_unbounded(rates, ["hbdm"], "et", "num", rows_per_task=split)
+    got = over.over_range_unbounded(
+        rates, ["hbdm"], "et", "num", tie=["id"], rows_per_task=split
+    )
     assert as_dict(got, "sum_num") == expected
 
 
@@ -88,7 +90,7 @@ def test_over_range_time(rates, split, seconds):
                 r[3] for r in rows if row[2] - seconds * 1000 <= r[2] <= row[2]
             )
     got = over.over_range_time(
-        rates, ["hbdm"], "et", "num", f"{seconds} seconds", rows_per_task=split
+        rates, ["hbdm"], "et", "num", f"{seconds} seconds", tie=["id"], rows_per_task=split
     )
     assert as_dict(got, "sum_num") == expected
 

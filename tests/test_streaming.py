@@ -59,8 +59,8 @@ def feed(spark, tmp_path):
 
 @pytest.fixture
 def full_feed(feed):
-    """All rows in time order over five batches, each batch in reverse."""
-    size = len(ROWS) // 5
+    """All rows in time order over three batches, each batch in reverse."""
+    size = len(ROWS) // 3
     return feed.add(*[ROWS[i : i + size][::-1] for i in range(0, len(ROWS), size)])
 
 

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from tidemark.functions.time import duration_ms, epoch_us
 from tidemark.plans import ordered
 
+# Kinds of events in the order they count at equal times.
+LEAVES, ARRIVES, ASKS = 0, 1, 2
+KIND = "_kind"
+
 _EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
 
 
@@ -40,9 +44,13 @@ def over_range_unbounded(
     et: str,
     value: str,
     column: str = "sum_num",
+    tie: Sequence[str] = (),
     rows_per_task: int | None = None,
 ) -> DataFrame:
-    """Sum over everything up to the current time, rows of equal time included."""
+    """Sum over everything up to the current time, rows of equal time included.
+
+    ``tie`` orders rows of equal time, so that even those can be split between tasks.
+    """
     _require_exact(df, value)
     chunks = ordered.chunks_needed(df, keys, rows_per_task)
     if not chunks:
@@ -52,11 +60,8 @@ def over_range_unbounded(
             .rangeBetween(Window.unboundedPreceding, Window.currentRow)
         )
         return df.withColumn(column, F.sum(value).over(frame))
-    moments = df.groupBy(*keys, et).agg(F.sum(value).alias("_v"))
-    totals = ordered.running_total(
-        moments, keys, [et], {column: F.col("_v")}, chunks=chunks
-    )
-    return match_moments(df, totals.drop("_v"), [*keys, et])
+    asked = ask_frames(df, keys, et, None, {column: F.col(value)}, tie, chunks)
+    return asked.filter(F.col(KIND) == ASKS).drop(KIND, "_us")
 
 
 def over_range_time(
@@ -66,28 +71,21 @@ def over_range_time(
     value: str,
     length: str,
     column: str = "sum_num",
+    tie: Sequence[str] = (),
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Sum over the time frame that ends now and reaches ``length`` back, inclusive."""
     _require_exact(df, value)
+    values = {"_sum": F.col(value), "_rows": F.col(value).isNotNull().cast("long")}
     chunks = ordered.chunks_needed(df, keys, rows_per_task)
-    if not chunks:
-        framed = with_frame(
-            df,
-            keys,
-            et,
-            length,
-            {"_sum": F.col(value), "_rows": F.col(value).isNotNull().cast("long")},
-        )
-        return framed.withColumn(column, F.when(F.col("_rows") > 0, F.col("_sum"))).drop(
-            "_sum", "_rows", "_us"
-        )
-    timed = df.withColumn("_us", epoch_us(et))
-    sums = frame_totals(timed, keys, "_us", F.sum(value), F.count(value), length, chunks)
-    result = sums.select(
-        *keys, "_us", F.when(F.col("_frame_rows") > 0, F.col("_frame_sum")).alias(column)
+    if chunks:
+        asked = ask_frames(df, keys, et, length, values, tie, chunks)
+        framed = asked.filter(F.col(KIND) == ASKS).drop(KIND)
+    else:
+        framed = with_frame(df, keys, et, length, values)
+    return framed.withColumn(column, F.when(F.col("_rows") > 0, F.col("_sum"))).drop(
+        "_sum", "_rows", "_us"
     )
-    return match_moments(timed, result, [*keys, "_us"]).drop("_us")
 
 
 def with_frame(
@@ -126,56 +124,58 @@ def with_frame(
     return summed.filter(~leaves).drop("_leaves", *staged.values())
 
 
-def frame_totals(
+def ask_frames(
     df: DataFrame,
     keys: Sequence[str],
-    us: str,
-    total: Column,
-    rows: Column,
-    length: str,
+    et: str,
+    length: str | None,
+    values: Mapping[str, Column],
+    tie: Sequence[str],
     chunks: int,
+    keep: Sequence[str] = (),
+    arrivals: str | None = None,
 ) -> DataFrame:
-    """Sum and row count of the time frame at each moment, for keys of any size.
-
-    The same idea as :func:`with_frame`, on moments instead of rows so that rows of
-    equal time cannot lie on both sides of a chunk border.
+    """Time-frame sums for keys of any size, as one running total over events.
+
+    Each row becomes up to three events: its values leave the frame (``length`` after
+    it, never when that is ``None``), they arrive, and the row asks for the sum.  At
+    equal times they come in that order, so a row sees its peers wherever the chunk
+    borders fall, and no group of equal times has to stay in one task.  Only the
+    asking event carries the row; ``keep`` names columns the arriving one needs too.
+    ``arrivals`` adds the number of rows that have arrived so far.
     """
-    span = F.lit(duration_ms(length) * 1000 + 1).cast("long")
-    moments = df.groupBy(*keys, us).agg(total.alias("_sum"), rows.alias("_rows"))
-    added = F.coalesce(F.col("_sum"), F.lit(0))
-    changes = (
-        moments.select(
-            *keys,
-            F.explode(
-                F.array(
-                    F.struct(
-                        F.col(us).alias(us),
-                        added.alias("_sum"),
-                        F.col("_rows").alias("_rows"),
-                    ),
-                    F.struct(
-                        (F.col(us) + span).alias(us),
-                        (-added).alias("_sum"),
-                        (-F.col("_rows")).alias("_rows"),
-                    ),
-                )
-            ).alias("_change"),
-        )
-        .select(*keys, "_change.*")
-        .groupBy(*keys, us)
-        .agg(F.sum("_sum").alias("_sum"), F.sum("_rows").alias("_rows"))
-    )
-    return ordered.running_total(
-        changes,
+    kinds = [ARRIVES, ASKS] if length is None else [LEAVES, ARRIVES, ASKS]
+    kind = F.col(KIND)
+    staged = {name: f"_add_{name}" for name in values}
+    events = df.withColumns(
+        {"_us": epoch_us(et), **{staged[n]: v for n, v in values.items()}}
+    ).withColumn(KIND, F.explode(F.array(*[F.lit(k) for k in kinds])))
+    payload = [c for c in df.columns if c not in {*keys, *tie, *keep}]
+    columns = {
+        **{c: F.when(kind == ASKS, F.col(c)) for c in payload},
+        **{
+            c: F.when(kind == ARRIVES, F.col(c)).when(kind == LEAVES, -F.col(c))
+            for c in staged.values()
+        },
+    }
+    if length is not None:
+        span = F.lit(duration_ms(length) * 1000 + 1).cast("long")
+        columns["_us"] = F.when(kind == LEAVES, F.col("_us") + span).otherwise(F.col("_us"))
+    sums = {n: F.col(staged[n]) for n in values}
+    if arrivals is not None:
+        sums[arrivals] = F.when(kind == ARRIVES, 1).otherwise(0).cast("long")
+    totals = ordered.running_total(
+        events.withColumns(columns),
         keys,
-        [us],
-        {"_frame_sum": F.col("_sum"), "_frame_rows": F.col("_rows")},
-        chunks=2 * chunks,
-    ).drop("_sum", "_rows")
+        ["_us", KIND, *tie],
+        sums,
+        chunks=chunks * len(kinds),
+    )
+    return totals.drop(*staged.values())
 
 
-def match_moments(df: DataFrame, totals: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Bring per-moment results back to the rows; a null key matches a null key."""
+def match(df: DataFrame, totals: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on ``on`` in which a null key matches a null key."""
     renamed = totals.withColumnsRenamed({c: f"_m_{c}" for c in on})
     condition = F.lit(True)
     for c in on:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import duration_ms, epoch_us
-from tidemark.operators.over import frame_totals, match_moments, with_frame
+from tidemark.operators.over import ARRIVES, ASKS, KIND, ask_frames, match, with_frame
 from tidemark.plans import ordered
 
 
@@ -214,18 +214,18 @@ def _repeat_alert_in_chunks(
 ) -> DataFrame:
     """Number the rows of a key; the frame's first row is then found by its number."""
     one = F.lit(1).cast("long")
-    timed = df.withColumn("_us", epoch_us(et))
-    numbered = ordered.running_total(timed, keys, order, {"_number": one}, chunks=chunks)
-    frames = frame_totals(
-        timed, keys, "_us", F.sum(one), F.count(one), within, chunks
-    ).select(*keys, "_us", F.col("_frame_rows").alias("cnt"))
-    ends = numbered.groupBy(*keys, "_us").agg(F.max("_number").alias("_last"))
-    moments = match_moments(ends, frames.filter(F.col("cnt") >= at_least), [*keys, "_us"])
-    alerts = match_moments(timed, moments, [*keys, "_us"]).withColumn(
-        "_number", F.col("_last") - F.col("cnt") + 1
+    asked = ask_frames(
+        df, keys, et, within, {"cnt": one}, order, chunks, keep=[task], arrivals="_number"
     )
-    firsts = numbered.select(*keys, "_number", F.col(task).alias("first_task"))
-    return match_moments(alerts, firsts, [*keys, "_number"]).drop("_us", "_last", "_number")
+    alerts = (
+        asked.filter((F.col(KIND) == ASKS) & (F.col("cnt") >= at_least))
+        .withColumn("_number", F.col("_number") - F.col("cnt") + 1)
+        .drop(KIND, "_us")
+    )
+    firsts = asked.filter(F.col(KIND) == ARRIVES).select(
+        *keys, "_number", F.col(task).alias("first_task")
+    )
+    return match(alerts, firsts, [*keys, "_number"]).drop("_number")
 
 
 def alert_text(key: str, task: str = "first_task") -> Column:

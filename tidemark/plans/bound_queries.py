@@ -27,9 +27,6 @@ QUERIES: dict[str, Query] = {}
 ARRIVAL = ["event_id"]
 IN_TIME = ["et", "event_id"]
 
-#: Small enough that the chunked plans are used on the test tables.
-SPLIT_ROWS = 1500
-
 DELAY = "1 second"
 
 
@@ -42,6 +39,11 @@ def _is(code: str) -> Column:
     return F.col("hbdm") == code
 
 
+def _split(df: DataFrame) -> int:
+    """Rows per task that no event type fits, so that the chunked plans are used."""
+    return max(1, df.count() // 8)
+
+
 def _naive(df: DataFrame) -> DataFrame:
     """Timestamps without a zone, as the tables have them."""
     return df.withColumns(
@@ -257,7 +259,7 @@ def retract_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def retract_count_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = tables.rates(spark, sf_dir).select("event_id", "hbdm", "num")
-    return changelog.retract_count(rates, "hbdm", ARRIVAL, rows_per_task=SPLIT_ROWS)
+    return changelog.retract_count(rates, "hbdm", ARRIVAL, rows_per_task=_split(rates))
 
 
 @query
@@ -281,9 +283,9 @@ def hop_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.hop(rates, "et", "5 hours", "1 hour", ["hbdm"], counts)
 
 
-def _sessions(spark: SparkSession, sf_dir: str, rows_per_task: int | None = None) -> DataFrame:
+def _sessions(rates: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     return windows.session(
-        tables.rates(spark, sf_dir),
+        rates,
         "et",
         "30 minutes",
         ["hbdm"],
@@ -295,12 +297,13 @@ def _sessions(spark: SparkSession, sf_dir: str, rows_per_task: int | None = None
 
 @query
 def session_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sessions(spark, sf_dir)
+    return _sessions(tables.rates(spark, sf_dir))
 
 
 @query
 def session_agg_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sessions(spark, sf_dir, SPLIT_ROWS)
+    rates = tables.rates(spark, sf_dir)
+    return _sessions(rates, _split(rates))
 
 
 @query
@@ -337,7 +340,7 @@ def over_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def over_rows_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = _frame_input(spark, sf_dir)
-    return _framed(over.over_rows(rates, ["hbdm"], IN_TIME, "num", 10, rows_per_task=SPLIT_ROWS))
+    return _framed(over.over_rows(rates, ["hbdm"], IN_TIME, "num", 10, rows_per_task=_split(rates)))
 
 
 @query
@@ -349,7 +352,9 @@ def over_range_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def over_range_unbounded_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = _frame_input(spark, sf_dir)
     return _framed(
-        over.over_range_unbounded(rates, ["hbdm"], "et", "num", rows_per_task=SPLIT_ROWS)
+        over.over_range_unbounded(
+            rates, ["hbdm"], "et", "num", tie=ARRIVAL, rows_per_task=_split(rates)
+        )
     )
 
 
@@ -363,7 +368,9 @@ def over_range_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def over_range_time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = _frame_input(spark, sf_dir)
     return _framed(
-        over.over_range_time(rates, ["hbdm"], "et", "num", "6 hours", rows_per_task=SPLIT_ROWS)
+        over.over_range_time(
+            rates, ["hbdm"], "et", "num", "6 hours", tie=ARRIVAL, rows_per_task=_split(rates)
+        )
     )
 
 
@@ -454,7 +461,7 @@ def dedup_session_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_session_first_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = tables.rates(spark, sf_dir).select("event_id", "hbdm", "et")
     return dedup.dedup_session_first(
-        rates, ["hbdm"], "30 minutes", IN_TIME, rows_per_task=SPLIT_ROWS
+        rates, ["hbdm"], "30 minutes", IN_TIME, rows_per_task=_split(rates)
     )
 
 
@@ -512,7 +519,7 @@ def cep_times_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = _frame_input(spark, sf_dir)
     return _runs(
         patterns.times(
-            rates, _is("purchase"), IN_TIME, 5, 6, events=["event_id"], rows_per_task=500
+            rates, _is("purchase"), IN_TIME, 5, 6, events=["event_id"], rows_per_task=_split(rates)
         )
     )
 
@@ -556,7 +563,7 @@ def cep_next_within_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Un-keyed: the next event of any user."""
     rates = tables.rates(spark, sf_dir).select("event_id", "et", "hbdm")
     return patterns.next_within(
-        rates, _is("purchase"), _is("purchase"), "5 minutes", IN_TIME, rows_per_task=SPLIT_ROWS
+        rates, _is("purchase"), _is("purchase"), "5 minutes", IN_TIME, rows_per_task=_split(rates)
     )
 
 
@@ -585,7 +592,7 @@ def retry_alert_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = _frame_input(spark, sf_dir)
     return _alerts(
         patterns.repeat_alert(
-            rates, ["hbdm"], IN_TIME, "event_id", "1 hour", rows_per_task=SPLIT_ROWS
+            rates, ["hbdm"], IN_TIME, "event_id", "1 hour", rows_per_task=_split(rates)
         ),
         "hbdm",
     )
