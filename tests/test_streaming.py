@@ -192,6 +192,15 @@ def test_bucket_dedup_drops_late_rows(feed):
     assert sinks.state_rows(feed.query) == 1
 
 
+def test_first_in_bucket_is_the_first_to_arrive(feed):
+    base = BASE - BASE % 30_000
+    offsets = [(3, 5000), (2, 1000), (1, 4000), (4, 11_000), (5, 31_000)]
+    feed.add([(i, "A", base + ms, i) for i, ms in offsets], [(6, "A", base + 95_000, 6)])
+    stream = feed.stream(None).select("id", "et", "ts", "hbdm", "num")
+    got = feed.drain(stream_dedup.first_in_bucket(stream, "10 seconds", ["id"]))
+    assert sorted((r.id, r.ts - base) for r in got.collect()) == [(1, 4000), (4, 11_000), (5, 31_000)]
+
+
 def test_open_window_keeps_a_bucket_that_the_watermark_passed(feed):
     """Late means late for the 30 second window, not for the 10 second bucket in it."""
     offsets = [("A", 1000), ("B", 25000), ("A", 9000), ("C", 9500)]

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.functions import decode, encode, hashing, time
 from tidemark.operators import aggregate, changelog, dedup, joins, over, patterns, project, windows
-from tidemark.sources import tables
+from tidemark.sources import tables, upsert
 from tidemark.streaming import dedup as stream_dedup
 from tidemark.streaming import sinks, stateful
 
@@ -614,6 +614,15 @@ def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(aggregate.group_count(tables.stream_rates(spark, sf_dir)), "update")
 
 
+@query
+def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = tables.stream_rates(spark, sf_dir).select("user_id", "event_id", "ts", "hbdm", "num")
+    base = sinks.run_folder(spark)
+    log = upsert.UpsertLog(f"{base}/data", ["user_id"], ARRIVAL)
+    sinks.drain(sinks.each_batch(rates, log, f"{base}/checkpoint"))
+    return log.read(spark)
+
+
 @query
 def stream_tumble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(windows.rate_summary(_watermarked(spark, sf_dir), size="1 hour"))
@@ -636,6 +645,14 @@ def stream_dedup_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(unique.select("hbdm", time.time_bucket("ts", 600_000).alias("bucket")))
 
 
+@query
+def stream_dedup_bucket_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = tables.stream_rates(spark, sf_dir).select("event_id", "et", "ts", "hbdm", "num")
+    return _drained(
+        stream_dedup.first_in_bucket(rates, "10 minutes", ARRIVAL, DELAY, "30 minutes")
+    )
+
+
 @query
 def stream_dedup_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     unique = stream_dedup.dedup_hour(tables.stream_rates(spark, sf_dir), ["user_id"])

@@ -361,6 +361,10 @@ FROM hopped, closing WHERE epoch_us(w_start) + 7200000000 <= closed_us GROUP BY
     "stream_session": _with(_SESSIONS)
     + "SELECT hbdm, s_start, s_end, cnt_num FROM sessions, closing WHERE end_us <= closed_us",
     "stream_dedup_bucket": _with() + "SELECT DISTINCT hbdm, ts // 600000 AS bucket FROM rate",
+    "stream_dedup_bucket_first": _with()
+    + _first("hbdm, ts // 600000", "event_id, ts, hbdm, num", "rate").replace(
+        "WHERE rn = 1", ", closing WHERE rn = 1 AND (us // 1800000000 + 1) * 1800000000 <= closed_us"
+    ),
     "stream_dedup_hour": _with()
     + "SELECT DISTINCT user_id, time_bucket(INTERVAL '1 hour', et) + INTERVAL '1 hour' AS hour_end FROM rate",
     "stream_dedup_bitmap": _with(_BITMAP)
@@ -399,6 +403,7 @@ WHERE hbdm = 'purchase' AND (next_us IS NULL OR next_us - us >= 21600000000)
 }
 
 ORACLE["sql_filter"] = ORACLE["filter_eq"]
+ORACLE["stream_upsert_latest"] = ORACLE["upsert_latest"]
 ORACLE["stream_group_count"] = ORACLE["group_count"]
 ORACLE["stream_retract_count"] = ORACLE["retract_count"]
 ORACLE["window_join_salted"] = ORACLE["stream_window_join"] = ORACLE["window_join"]

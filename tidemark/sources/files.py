@@ -8,6 +8,11 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark import schemas
 
+#: Files in a micro-batch.  A stateful operator holds the rows of one key and one
+#: micro-batch in one task, so a stream should not start with its whole history;
+#: history is what the batch operators are for.
+FILES_PER_TRIGGER = 16
+
 
 def read_rate_csv(spark: SparkSession, path: str) -> DataFrame:
     """Part files of headerless rate lines."""
@@ -24,11 +29,10 @@ def read_device_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.DEVICE_EVENT).json(path, multiLine=True)
 
 
-def stream_text(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.text(path)
+def stream_text(
+    spark: SparkSession, path: str, files_per_trigger: int = FILES_PER_TRIGGER
+) -> DataFrame:
+    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
 
 
 def stream_table(
@@ -36,13 +40,15 @@ def stream_table(
     path: str,
     schema: T.StructType | str,
     file_format: str = "parquet",
-    files_per_trigger: int | None = None,
+    files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
-    """A folder of table files as a stream; the trigger limit bounds a micro-batch."""
-    reader = spark.readStream.format(file_format).schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path)
+    """A folder of table files as a stream."""
+    return (
+        spark.readStream.format(file_format)
+        .schema(schema)
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .load(path)
+    )
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -24,7 +24,7 @@ class MessageLog:
     servers: str
     group: str | None = None
     starting: str = "latest"
-    max_offsets_per_trigger: int | None = None
+    max_offsets_per_trigger: int = 10_000_000
     extra: Mapping[str, str] = field(default_factory=dict)
 
     def reader_options(self, topics: Sequence[str]) -> dict[str, str]:
@@ -33,11 +33,10 @@ class MessageLog:
             "kafka.bootstrap.servers": self.servers,
             "subscribe": ",".join(topics),
             "startingOffsets": self.starting,
+            "maxOffsetsPerTrigger": str(self.max_offsets_per_trigger),
         }
         if self.group:
             options["kafka.group.id"] = self.group
-        if self.max_offsets_per_trigger:
-            options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
         return {**options, **self.extra}
 
     def writer_options(self, topic: str | None = None) -> dict[str, str]:

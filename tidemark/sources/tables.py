@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import session
 from tidemark.functions.time import epoch_ms
+from tidemark.sources.files import FILES_PER_TRIGGER
 
 PROPS = "k INT"
 
@@ -47,6 +48,7 @@ def stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = (
         spark.readStream.schema(EVENTS)
         .option("pathGlobFilter", "events.parquet")
+        .option("maxFilesPerTrigger", FILES_PER_TRIGGER)
         .parquet(sf_dir)
     )
     return rate_view(raw).withColumn("et", F.col("et").cast("timestamp"))

@@ -1,9 +1,10 @@
 """Deduplication with built-in state that the watermark evicts.
 
 Each form keys on a time window of the event time, so state for a window is dropped
-once the watermark passes its end, and rows of a closed window count as late.
-Within a micro-batch Spark does not say which duplicate it keeps; across batches
-the earlier batch wins.
+once the watermark passes its end, and rows of a closed window count as late.  A row
+is passed on at once.  Within a micro-batch Spark does not say which duplicate that
+is; across batches the earlier batch wins.  :func:`first_in_bucket` waits for the
+window to close instead and then gives the first row to arrive.
 """
 
 from __future__ import annotations
@@ -42,6 +43,33 @@ def dedup_bucket(
     return unique.drop(_WINDOW, "_bucket")
 
 
+def first_in_bucket(
+    df: DataFrame,
+    width: str,
+    order: Sequence[str],
+    delay: str = "1 second",
+    window: str = "30 seconds",
+    keys: Sequence[str] = ("hbdm",),
+    ts: str = "ts",
+    et: str = "et",
+) -> DataFrame:
+    """The row of each key and bucket that is first in ``order``, once its window closed.
+
+    Map tasks combine before the shuffle, so a hot bucket arrives as one row per task.
+    """
+    row = F.struct(*[F.col(c) for c in df.columns if c not in {*keys, et}])
+    first = (
+        df.withWatermark(et, delay)
+        .groupBy(
+            *keys,
+            time_bucket(ts, duration_ms(width)).alias("_bucket"),
+            F.window(F.col(et), window).alias(_WINDOW),
+        )
+        .agg(F.min_by(row, F.struct(*[F.col(c) for c in order])).alias("_first"))
+    )
+    return first.select(*keys, "_first.*")
+
+
 def dedup_hour(
     df: DataFrame,
     keys: Sequence[str] = ("id",),

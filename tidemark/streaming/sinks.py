@@ -140,10 +140,15 @@ class BloomDedup:
         )
 
 
+def run_folder(spark: SparkSession) -> str:
+    """A new folder in the shared folder, for the files of one run."""
+    return f"{session.shared_dir(spark)}/run-{uuid.uuid4().hex}"
+
+
 def run_to_table(df: DataFrame, mode: str = "append") -> DataFrame:
     """Drain a stream into files of the shared folder and read them back."""
     spark = df.sparkSession
-    base = f"{session.shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    base = run_folder(spark)
     if mode == "append":
         writer = (
             df.writeStream.format("parquet")
