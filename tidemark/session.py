@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +15,6 @@ ROCKSDB_PROVIDER = (
 ROWS_PER_TASK_CONF = "spark.tidemark.rowsPerTask"
 DEFAULT_ROWS_PER_TASK = 4_000_000
 
-_shipped: set[str] = set()
-
 
 def local_session(
     cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g"
@@ -54,18 +50,6 @@ def use_rocksdb_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (stateful processors)."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="tidemark-ship-")) / "tidemark"
-    archive = shutil.make_archive(str(target), "zip", root.parent, root.name)
-    spark.sparkContext.addPyFile(archive)
-    _shipped.add(app)
-
-
 def rows_per_task(spark: SparkSession, override: int | None = None) -> int:
     if override is not None:
         return max(1, int(override))

@@ -13,11 +13,13 @@ epoch, which keeps time zones out of the Python side.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidemark import session
 from tidemark.functions.time import duration_ms, epoch_us
 
+# The workers, and the driver-side one that declares the state, need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Spark renames columns that start with an underscore on their way to Python.
 US = "event_us"
 
@@ -372,7 +377,6 @@ def _apply(
     ``extra`` names the columns the processor adds; ``flags`` are helper columns for
     it that do not come out again.
     """
-    session.ship_package(df.sparkSession)
     session.use_rocksdb_state(df.sparkSession)
     helpers = flags or {}
     columns = list(dict.fromkeys([*keys, *order, *payload]))
@@ -512,7 +516,6 @@ def repeat_alert(
 
 def retract_count(df: DataFrame, key: str, order: Sequence[str], value: str = "num") -> DataFrame:
     """Every change of the running count per key, in order of arrival."""
-    session.ship_package(df.sparkSession)
     session.use_rocksdb_state(df.sparkSession)
     groups = _groups([key])
     columns = list(dict.fromkeys([key, value, *order]))
