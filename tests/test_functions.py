@@ -141,6 +141,13 @@ def test_time_buckets(spark):
     assert rows[2][2] == 3_601_000
 
 
+def test_time_text_drops_trailing_zeros(spark):
+    times = [(1622513218000,), (1622513218100,), (1622513218120,), (1622513218123,), (1622513218023,)]
+    df = spark.createDataFrame(times, "ts BIGINT")
+    texts = [r[0] for r in df.select(time.time_text("ts")).collect()]
+    assert texts == [f"2021-06-01 02:06:58.{f}" for f in ("0", "1", "12", "123", "023")]
+
+
 def test_duration():
     assert time.duration_ms("30 seconds") == 30_000
     assert time.duration_ms("1 minute") == 60_000

@@ -172,6 +172,35 @@ def test_session(rates, split, gap):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, expected))
 
 
+@pytest.mark.parametrize("size, slide", [(5000, 1000), (1000, 1000), (2500, 1000)])
+def test_hop(rates, size, slide):
+    aggregates = {"rows": ("count", "id"), "total": ("sum", "num"), "low": ("min", "num")}
+    got = windows.hop(
+        rates, "et", f"{size} milliseconds", f"{slide} milliseconds", ["hbdm"], aggregates
+    )
+    expected: dict = {}
+    for key, rows in GROUPS.items():
+        for row in rows:
+            start = row[2] - row[2] % slide
+            while start > row[2] - size:
+                expected.setdefault((key, start), []).append(row[3])
+                start -= slide
+    assert sorted(
+        repr((r.hbdm, r.s, r.e, r.rows, r.total, r.low))
+        for r in got.withColumns({"s": F.unix_millis("w_start"), "e": F.unix_millis("w_end")}).collect()
+    ) == sorted(
+        repr(
+            (key, start, start + size, len(v), fixtures.total(v), min((x for x in v if x is not None), default=None))
+        )
+        for (key, start), v in expected.items()
+    )
+
+
+def test_unmergeable_functions_are_refused(rates):
+    with pytest.raises(ValueError):
+        windows.session(rates, "et", "1 second", ["hbdm"], {"x": ("avg", "num")})
+
+
 @pytest.mark.parametrize("split", SPLITS)
 def test_dedup_session_first(rates, split):
     got = dedup.dedup_session_first(rates, ["hbdm"], "1 second", ["et", "id"], rows_per_task=split)

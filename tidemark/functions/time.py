@@ -56,6 +56,8 @@ def bucket_key(ts: Column | str, width_ms: int, code: Column | str) -> Column:
     return F.concat(time_bucket(ts, width_ms).cast("string"), _col(code))
 
 
-def time_text(ts: Column | str, pattern: str = "yyyy-MM-dd HH:mm:ss.S") -> Column:
-    """An epoch-millisecond time as text."""
-    return F.date_format(event_time(ts), pattern)
+def time_text(ts: Column | str) -> Column:
+    """An epoch-millisecond time as text, its fraction without trailing zeros."""
+    et = event_time(ts)
+    fraction = F.regexp_replace(F.date_format(et, "SSS"), "0{1,2}$", "")
+    return F.concat(F.date_format(et, "yyyy-MM-dd HH:mm:ss."), fraction)

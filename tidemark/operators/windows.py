@@ -15,6 +15,21 @@ from tidemark.plans import ordered
 from tidemark.session import checkpointed
 
 
+# How partial results of a function combine.
+_MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def _columns(aggregates: Mapping[str, tuple[str, str]]) -> list[Column]:
+    unknown = {f for f, _ in aggregates.values()} - set(_MERGE)
+    if unknown:
+        raise ValueError(f"cannot merge {sorted(unknown)}; use {sorted(_MERGE)}")
+    return [getattr(F, f)(c).alias(n) for n, (f, c) in aggregates.items()]
+
+
+def _interval(ms: int) -> Column:
+    return F.expr(f"INTERVAL '{ms / 1000:.3f}' SECOND")
+
+
 def tumble(
     df: DataFrame, et: str, size: str, keys: Sequence[str], aggregates: Sequence[Column]
 ) -> DataFrame:
@@ -28,11 +43,27 @@ def hop(
     size: str,
     slide: str,
     keys: Sequence[str],
-    aggregates: Sequence[Column],
+    aggregates: Mapping[str, tuple[str, str]],
 ) -> DataFrame:
-    """Aggregate per key and hopping window of ``size``, started every ``slide``."""
-    return _unpack(
-        df.groupBy(*keys, F.window(F.col(et), size, slide).alias("_w")).agg(*aggregates), keys
+    """Aggregate per key and hopping window of ``size``, started every ``slide``.
+
+    ``aggregates`` maps a result column to a function (count, sum, min or max) and its
+    input column.  A row lies in ``size / slide`` windows.  A batch table is aggregated
+    once per ``slide`` instead, and only these panes are copied to their windows.
+    """
+    panes, rest = divmod(duration_ms(size), duration_ms(slide))
+    if df.isStreaming or rest:
+        grouped = df.groupBy(*keys, F.window(F.col(et), size, slide).alias("_w"))
+        return _unpack(grouped.agg(*_columns(aggregates)), keys)
+    paned = tumble(df, et, slide, keys, _columns(aggregates))
+    starts = [
+        F.col("w_start") - _interval(back * duration_ms(slide)) for back in range(panes)
+    ]
+    copied = paned.withColumn("w_start", F.explode(F.array(*starts)))
+    return (
+        copied.groupBy(*keys, "w_start")
+        .agg(*[_MERGE[f](n).alias(n) for n, (f, _) in aggregates.items()])
+        .select(*keys, "w_start", (F.col("w_start") + _interval(duration_ms(size))).alias("w_end"), *aggregates)
     )
 
 
@@ -61,9 +92,7 @@ def session(
             cut = ordered.into_chunks(narrow, keys, [et, *tie], chunks)
             return _session_in_chunks(cut, et, gap, keys, aggregates, [et, *tie])
     grouped = df.groupBy(*keys, F.session_window(F.col(et), gap).alias("_w"))
-    return _unpack(
-        grouped.agg(*[getattr(F, f)(c).alias(n) for n, (f, c) in aggregates.items()]), keys
-    )
+    return _unpack(grouped.agg(*_columns(aggregates)), keys)
 
 
 def _session_in_chunks(
@@ -79,7 +108,7 @@ def _session_in_chunks(
     Only the first and the last session of a (key, chunk) can continue elsewhere, so
     the second step sees at most two rows per chunk.
     """
-    length = F.expr(f"INTERVAL '{duration_ms(gap) / 1000:.3f}' SECOND")
+    length = _interval(duration_ms(gap))
 
     def numbered(rows: DataFrame, by: Sequence[str], start: str, end: str, sort: Sequence[str]) -> DataFrame:
         ordered_rows = Window.partitionBy(*by).orderBy(*sort)
@@ -97,7 +126,7 @@ def _session_in_chunks(
         .agg(
             F.min(et).alias("w_start"),
             F.max(et).alias("_last"),
-            *[getattr(F, f)(c).alias(n) for n, (f, c) in aggregates.items()],
+            *_columns(aggregates),
         )
     )
     in_chunk = Window.partitionBy(*by_chunk)
@@ -108,7 +137,6 @@ def _session_in_chunks(
         )
     )
     results = [*keys, "w_start", (F.col("_last") + length).alias("w_end"), *aggregates]
-    merge = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
     joined = (
         numbered(
             pieces.filter("_border").drop("_session"),
@@ -121,7 +149,7 @@ def _session_in_chunks(
         .agg(
             F.min("w_start").alias("w_start"),
             F.max("_last").alias("_last"),
-            *[merge[f](n).alias(n) for n, (f, _) in aggregates.items()],
+            *[_MERGE[f](n).alias(n) for n, (f, _) in aggregates.items()],
         )
     )
     return pieces.filter("NOT _border").select(*results).unionByName(joined.select(*results))
@@ -140,7 +168,7 @@ def _unpack(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
 def rowtime(w_end: Column | str) -> Column:
     """The last millisecond that belongs to a window."""
     end = F.col(w_end) if isinstance(w_end, str) else w_end
-    return end - F.expr("INTERVAL '0.001' SECOND")
+    return end - _interval(1)
 
 
 def rate_summary(df: DataFrame, et: str = "et", size: str = "1 second", key: str = "hbdm") -> DataFrame:

@@ -279,8 +279,8 @@ def tumble_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def hop_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = tables.rates(spark, sf_dir)
-    counts = [F.count(F.lit(1)).alias("cnt_all"), F.sum("num").alias("sum_num")]
-    return windows.hop(rates, "et", "5 hours", "1 hour", ["hbdm"], counts)
+    aggregates = {"cnt_all": ("count", "event_id"), "sum_num": ("sum", "num")}
+    return windows.hop(rates, "et", "5 hours", "1 hour", ["hbdm"], aggregates)
 
 
 def _sessions(rates: DataFrame, rows_per_task: int | None = None) -> DataFrame:

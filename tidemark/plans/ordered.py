@@ -40,13 +40,13 @@ def chunks_needed(
 ) -> int:
     """0 when the rows of every key fit one task, else the number of chunks to cut."""
     budget = session.rows_per_task(df.sparkSession, rows_per_task)
-    total = df.count()
-    if total <= budget:
-        return 0
     if keys:
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-        if largest <= budget:
-            return 0
+        sizes = df.groupBy(*keys).count()
+        total, largest = sizes.agg(F.sum("count"), F.max("count")).first()
+    else:
+        total = largest = df.count()
+    if not total or largest <= budget:
+        return 0
     return max(2, math.ceil(total / budget))
 
 
