@@ -1,11 +1,12 @@
 """Keyed event-time operators that Structured Streaming has no built-in form for.
 
-All share one scheme.  Rows of a key wait in list state until the watermark has
+All share one scheme.  Rows of a key wait in checkpointed state until the watermark has
 passed them; no earlier row can then arrive, so they are released in event order.
 The released rows are appended to a short *tail* of earlier rows, the result is
 computed over both with array operations, and a new tail is kept.  The tail is what
 the next rows still need (the last ten rows, one time frame, one total), so state
-stays bounded, and both lists are in the checkpointed state store.
+stays bounded.  Rows are kept in blocks, one per key and input batch, because the state
+store is asked once per block.
 
 Inputs carry their event time a second time as ``event_us``, microseconds since the
 epoch, which keeps time zones out of the Python side.
@@ -13,6 +14,7 @@ epoch, which keeps time zones out of the Python side.
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator, Sequence
 from typing import Any
@@ -43,12 +45,12 @@ def _as_sent(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def _records(frame: pd.DataFrame, schema: T.StructType) -> list[tuple]:
-    """Rows of a batch as plain tuples of the schema's types, with ``None`` for null."""
+def _columns(frame: pd.DataFrame, schema: T.StructType) -> list[list]:
+    """The columns of a batch as lists of the schema's types, with ``None`` for null."""
     columns = []
     for field in schema.fields:
         values = frame[field.name]
-        missing = values.isna().to_numpy()
+        missing = values.isna().tolist()
         integral = isinstance(field.dataType, T.IntegralType)
         columns.append(
             [
@@ -56,11 +58,13 @@ def _records(frame: pd.DataFrame, schema: T.StructType) -> list[tuple]:
                 for v, gone in zip(values.tolist(), missing, strict=True)
             ]
         )
-    return list(zip(*columns, strict=True))
+    return columns
 
 
-def _frame(records: list[tuple], names: Sequence[str]) -> pd.DataFrame:
-    return pd.DataFrame(records, columns=list(names), dtype=object)
+def _frame(columns: list[list], names: Sequence[str]) -> pd.DataFrame:
+    return pd.DataFrame(
+        {n: pd.Series(c, dtype=object) for n, c in zip(names, columns, strict=True)}
+    )
 
 
 def _numbers(values: pd.Series) -> np.ndarray:
@@ -98,8 +102,8 @@ class InEventOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", self.rows)
-        self.tail = handle.getListState("tail", self.tail_schema())
+        self.pending = handle.getListState("pending", "first_us BIGINT, block BINARY")
+        self.tail = handle.getValueState("tail", "block BINARY")
 
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
@@ -108,8 +112,8 @@ class InEventOrder(StatefulProcessor):
         for batch in rows:
             if batch.empty:
                 continue
-            self.pending.appendList(_records(batch, self.rows))
             first = int(batch[US].min())
+            self.pending.appendValue((first, pickle.dumps(_columns(batch, self.rows))))
             earliest = first if earliest is None else min(earliest, first)
         if earliest is not None:
             self._wake_at(earliest)
@@ -119,50 +123,66 @@ class InEventOrder(StatefulProcessor):
         self, key: Any, timerValues: Any, expiredTimerInfo: Any
     ) -> Iterator[pd.DataFrame]:
         watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
-        names = self.rows.fieldNames()
-        waiting = list(self.pending.get()) if self.pending.exists() else []
-        at = names.index(US)
-        ready = [r for r in waiting if r[at] <= watermark_us]
-        left = [r for r in waiting if r[at] > watermark_us]
-        tail_names = self.tail_schema().fieldNames()
-        stored = list(self.tail.get()) if self.tail.exists() else []
-        tail = _frame(stored, tail_names)
         results: list[pd.DataFrame] = []
-        changed = False
-        if ready:
-            self._store(self.pending, left)
-            if left:
-                self._wake_at(min(r[at] for r in left))
-            released = _frame(ready, names).sort_values([US, *self.order], ignore_index=True)
-            out, tail = self.compute(tail, released)
-            changed = True
+        tail = self._load_tail()
+        known = len(tail)
+        ready = self._release(watermark_us)
+        if len(ready):
+            out, tail = self.compute(tail, ready)
             results.append(out)
             if self.horizon_ms is not None and len(tail):
                 self._wake_at(int(tail[US].iloc[-1]) + self.horizon_ms * 1000)
-        if self.horizon_ms is not None and len(tail):
-            if int(tail[US].iloc[-1]) + self.horizon_ms * 1000 <= watermark_us:
-                out, tail = self.expire(tail, watermark_us)
-                changed = True
-                if out is not None:
-                    results.append(out)
-        if changed:
-            self._store(self.tail, _records(tail, self.tail_schema()))
+        expired = (
+            self.horizon_ms is not None
+            and len(tail) > 0
+            and int(tail[US].iloc[-1]) + self.horizon_ms * 1000 <= watermark_us
+        )
+        if expired:
+            out, tail = self.expire(tail, watermark_us)
+            if out is not None:
+                results.append(out)
+        if len(ready) or expired:
+            if len(tail):
+                self.tail.update((pickle.dumps(_columns(tail, self.tail_schema())),))
+            elif known:
+                self.tail.clear()
         wanted = self.output.fieldNames()
         return iter([out[wanted] for out in results if len(out)])
 
+    def _load_tail(self) -> pd.DataFrame:
+        names = self.tail_schema().fieldNames()
+        if not self.tail.exists():
+            return _frame([[] for _ in names], names)
+        return _frame(pickle.loads(bytes(self.tail.get()[0])), names)
+
+    def _release(self, watermark_us: int) -> pd.DataFrame:
+        """Take the rows the watermark has passed out of the state, in event order."""
+        names = self.rows.fieldNames()
+        blocks = list(self.pending.get()) if self.pending.exists() else []
+        due = [block for first, block in blocks if first <= watermark_us]
+        if not due:
+            return _frame([[] for _ in names], names)
+        waiting = [(first, block) for first, block in blocks if first > watermark_us]
+        rows = pd.concat(
+            [_frame(pickle.loads(bytes(block)), names) for block in due], ignore_index=True
+        )
+        passed = rows[US].to_numpy(dtype=np.int64) <= watermark_us
+        left = rows[~passed]
+        if len(left):
+            waiting.append((int(left[US].min()), pickle.dumps(_columns(left, self.rows))))
+        if waiting:
+            self.pending.put(waiting)
+            self._wake_at(min(first for first, _ in waiting))
+        else:
+            self.pending.clear()
+        return rows[passed].sort_values([US, *self.order], ignore_index=True)
+
     def close(self) -> None:
         pass
 
     def _wake_at(self, us: int) -> None:
         self.handle.registerTimer(-(-us // 1000))
 
-    @staticmethod
-    def _store(state: Any, records: list[tuple]) -> None:
-        if records:
-            state.put(records)
-        else:
-            state.clear()
-
 
 class RowFrame(InEventOrder):
     """Sum over the current and the preceding rows."""
@@ -217,7 +237,7 @@ class Unbounded(InEventOrder):
         sums = before + np.cumsum(_numbers(ready[self.value]))
         last_peer = np.searchsorted(us, us, side="right") - 1
         out = ready.assign(sum_num=sums[last_peer])
-        return out, _frame([(int(us[-1]), int(sums[-1]))], [US, "total"])
+        return out, _frame([[int(us[-1])], [int(sums[-1])]], [US, "total"])
 
 
 class SessionFirst(InEventOrder):
@@ -231,7 +251,7 @@ class SessionFirst(InEventOrder):
         gap = self.horizon_ms * 1000
         first = int(tail[US].iloc[0]) if len(tail) else us[0] - gap - 1
         opens = us - np.concatenate([[first], us[:-1]]) > gap
-        return ready[opens], _frame([(int(us[-1]),)], [US])
+        return ready[opens], _frame([[int(us[-1])]], [US])
 
 
 class Repeats(InEventOrder):
@@ -324,10 +344,11 @@ class Changelog(StatefulProcessor):
         self.count = handle.getValueState("count", "n BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        records = [r for batch in rows if not batch.empty for r in _records(batch, self.rows)]
-        if not records:
+        names = self.rows.fieldNames()
+        batches = [_frame(_columns(b, self.rows), names) for b in rows if not b.empty]
+        if not batches:
             return iter(())
-        arrived = _frame(records, self.rows.fieldNames()).sort_values(
+        arrived = pd.concat(batches, ignore_index=True).sort_values(
             self.order, ignore_index=True
         )
         known = self.count.exists()
