@@ -7,8 +7,8 @@ import pytest
 
 import __spark_entry__ as contract
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = {k: v for k, v in contract.queries().items() if k not in contract.CORPUS_QUERIES}
+ORACLE = {k: v for k, v in contract.oracle_sql().items() if k in QUERIES}
 
 
 def test_entry_runs(spark):
