@@ -41,4 +41,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": OP1}
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+LOWER_WORDS = f"coalesce(regexp_extract_all({LOWER}, '{WORD}'), [])"
+
+OP10 = f"""
+WITH i AS (
+  SELECT item_id, {LOWER_WORDS} AS w FROM benchmark
+), item_shingles AS (
+  SELECT DISTINCT item_id, array_to_string(list_slice(w, k, k + 4), ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS k FROM i)
+), d AS (
+  SELECT doc_id, {LOWER_WORDS} AS w FROM documents
+), doc_shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, k, k + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d)
+), sizes AS (SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id)
+SELECT doc_id, item_id, n AS n_item_shingles, count(*) AS n_shared
+FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, n HAVING 5 * count(*) >= 4 * n
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": OP1, "op10_decontaminate": OP10}

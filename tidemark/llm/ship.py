@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import session
 
@@ -35,3 +36,16 @@ def folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the one that driver and executors share, as a URI."""
     path = f"{session.shared_dir(spark).rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"
     return path if "://" in path or path.startswith("file:") else f"file://{path}"
+
+
+#: Most rows of ids and numbers that a join may broadcast; more are shuffled.
+BROADCAST_ROWS = 500_000
+
+
+def measured(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` written once, for a join: broadcast if it has few rows, else left to a shuffle.
+
+    For narrow tables of ids and numbers only, whose size follows from their rows.
+    """
+    kept = session.checkpointed(df)
+    return F.broadcast(kept) if kept.count() <= limit else kept
