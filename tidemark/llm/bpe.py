@@ -168,6 +168,15 @@ class Vocabulary:
         by_id[0][rank], by_id[1][rank] = start, length
         return cls(ranks, table, ids, arena, *by_id)
 
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The bytes of each document, of which ``counts`` says how many ids it has."""
+        length = self.length[ids]
+        data = gather(self.arena, self.start[ids], length)
+        border = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(counts)])]
+        return pa.Array.from_buffers(
+            pa.large_binary(), len(counts), [None, pa.py_buffer(border.astype(np.int64)), pa.py_buffer(data)]
+        ).cast(pa.binary())
+
 
 class PieceCache:
     """Ids of the pre-tokens that a worker merged before, by 64-bit hash; bounded."""
@@ -237,8 +246,13 @@ def broadcast_vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Vocabulary.of(ranks))
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and ``ids``, the token ids of every whole text, in their order."""
+def encode(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", verify: bool = False
+) -> DataFrame:
+    """``id_col`` and ``ids``, the token ids of every whole text, in their order.
+
+    ``verify`` decodes the ids again in the same task and adds the bytes as ``decoded``.
+    """
     shared = broadcast_vocabulary(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,14 +265,16 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 known = np.where(slots >= 0, v.ids[slots], -1) if len(v.ids) else slots
                 ids, length = ids_of(pieces, hashes, known, cache)
                 total = np.concatenate([[0], np.cumsum(length)])[pieces.first]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, stop - row), tx.list_array(ids, np.diff(total), pa.int32())],
-                    [id_col, "ids"],
-                )
+                counts = np.diff(total)
+                columns = [batch.column(0).slice(row, stop - row), tx.list_array(ids, counts, pa.int32())]
+                if verify:
+                    columns.append(v.decode(ids, counts))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
+    names = [id_col, "ids", "decoded"] if verify else [id_col, "ids"]
     read = docs.select(id_col, F.col(text_col).alias("_text"))
     id_type = docs.schema[id_col].dataType.simpleString()
-    return read.mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>")
+    return read.mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>" + ", decoded binary" * verify)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -271,12 +287,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
             lists = batch.column(1)
             counts = np.asarray(lists.value_lengths().fill_null(0), np.int64)
             ids = np.asarray(lists.flatten(), np.int64)
-            data = gather(v.arena, v.start[ids], v.length[ids])
-            total = np.concatenate([[0], np.cumsum(v.length[ids])])[np.concatenate([[0], np.cumsum(counts)])]
-            decoded = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(counts), [None, pa.py_buffer(total.astype(np.int64)), pa.py_buffer(data)]
-            ).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [id_col, ids_col, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, v.decode(ids, counts)], [id_col, ids_col, "decoded"])
 
     read = encoded.select(id_col, ids_col)
     id_type = encoded.schema[id_col].dataType.simpleString()

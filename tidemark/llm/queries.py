@@ -8,13 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import session
-from tidemark.llm import bpe, decontaminate, quality, ship
+from tidemark.llm import bpe, decontaminate, jaccard, quality, ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    session.configure(spark)
-    ship.package(spark)
+    ship.prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,10 +27,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(_table(spark, sf_dir, "documents"), width=3, threshold=(9, 10))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), path)
-    return bpe.decode(encoded, path).select(
+    return bpe.encode(_table(spark, sf_dir, "documents"), path, verify=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
@@ -47,6 +48,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_decontaminate": op10_decontaminate,
 }

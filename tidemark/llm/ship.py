@@ -32,6 +32,16 @@ def package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def prepare(spark: SparkSession) -> None:
+    """Session settings of the operators: the library's own, and small Arrow batches.
+
+    Bytes, not rows, bound a batch, so that long documents do not fill a worker.
+    """
+    session.configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    package(spark)
+
+
 def folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the one that driver and executors share, as a URI."""
     path = f"{session.shared_dir(spark).rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"

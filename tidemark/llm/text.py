@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; one longer document is taken whole.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -63,7 +63,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def mix_with(h: np.ndarray, salt) -> np.ndarray:
-    return mix(h + np.uint64(0x632BE59BD9B4E019) * (np.asarray(salt).astype(np.uint64) + np.uint64(1)))
+    steps = np.atleast_1d(np.asarray(salt)).astype(np.uint64) + np.uint64(1)
+    return mix(h + np.uint64(0x632BE59BD9B4E019) * steps)
 
 
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
