@@ -11,7 +11,7 @@ shingles themselves.
 
 Defined results: texts are compared as A-Z lower-cased words; null and empty texts contain
 nothing and are contained in nothing; an item with fewer words than ``width`` has its whole
-sequence as its only shingle; repeated rows of an id count as one (the best); rows with a
+sequence as its only shingle; repeated rows of an id are read as one document; rows with a
 null id are never reported.  Extra columns stay outside, whatever their names.
 """
 
@@ -29,6 +29,8 @@ WIDTH = 5
 THRESHOLD = (4, 5)
 #: Most sketch rows that are broadcast (24 bytes each); more are joined by a shuffle.
 SKETCH_ROWS = 2_000_000
+#: Most item shingles (one row of text each) that are broadcast.
+SHINGLE_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
@@ -113,24 +115,26 @@ def contained(
         hits = found if hits is None else hits.unionByName(found)
     candidates = ship.measured(hits)
 
-    # Only documents with a candidate are read again, only those shingled as text.
-    again = (
-        docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-        .join(candidates, "_doc")
-        .join(sets, "_item")
-        .select("_doc", "_item", "_shingles", "_width", words(F.col("_text")).alias("_w"))
+    # Only documents with a candidate are read again, and only they are shingled as text.
+    again = docs.join(
+        ship.measured(candidates.select("_doc").distinct()), F.col(id_col) == F.col("_doc"), "left_semi"
+    ).select(F.col(id_col).alias("_doc"), words(F.col(text_col)).alias("_w"))
+    flat = ship.measured(
+        sets.select("_item", "_width", F.size("_shingles").cast("long").alias("_n"), F.explode("_shingles").alias("_s")),
+        SHINGLE_ROWS,
     )
-    own = F.lit(None)
+    met = None
     for k in used:
-        own = F.when(F.col("_width") == k, shingles(F.col("_w"), k)).otherwise(own)
-    counted = again.select(
-        "_doc",
-        "_item",
-        F.size("_shingles").cast("long").alias("_n"),
-        F.size(F.array_intersect("_shingles", own)).cast("long").alias("_shared"),
-    ).where(F.col("_shared") * den >= F.col("_n") * num)
-    best = counted.groupBy("_doc", "_item").agg(F.max(F.struct("_shared", "_n")).alias("_best"))
-    return _result(best.select("_doc", "_item", "_best._n", "_best._shared"), id_col, item_id_col)
+        own = flat.where(F.col("_width") == k).select("_item", "_n", "_s")
+        part = again.select("_doc", F.explode(shingles(F.col("_w"), k)).alias("_s")).join(own, "_s")
+        met = part if met is None else met.unionByName(part)
+    counted = (
+        met.join(candidates, ["_doc", "_item"])
+        .groupBy("_doc", "_item", "_n")
+        .agg(F.countDistinct("_s").alias("_shared"))
+        .where(F.col("_shared") * den >= F.col("_n") * num)
+    )
+    return _result(counted, id_col, item_id_col)
 
 
 def _result(rows: DataFrame, id_col: str, item_id_col: str) -> DataFrame:
