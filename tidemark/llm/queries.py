@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, quality, ship
+from tidemark.llm import bpe, decontaminate, jaccard, quality, ship, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,21 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _remainder():
+    return F.crc32(F.col("doc_id").cast("string")) % 5
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), learn=_remainder() != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (_remainder() == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(_table(spark, sf_dir, "documents"), width=3, threshold=(9, 10))
 
@@ -48,6 +63,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_decontaminate": op10_decontaminate,

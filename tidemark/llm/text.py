@@ -118,7 +118,7 @@ class Text:
 
     def per_doc_of_words(self, flags: np.ndarray) -> np.ndarray:
         """Sum of a value per word over each document."""
-        total = np.zeros(len(flags) + 1, np.int64)
+        total = np.zeros(len(flags) + 1, np.float64 if flags.dtype.kind == "f" else np.int64)
         np.cumsum(flags, out=total[1:])
         return total[self.first[1:]] - total[self.first[:-1]]
 
