@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, quality, ship, toxicity
+from tidemark.llm import bpe, decontaminate, jaccard, quality, ship, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring.removals(_table(spark, sf_dir, "documents"), span=35)
+    return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def _remainder():
     return F.crc32(F.col("doc_id").cast("string")) % 5
 
@@ -63,6 +68,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_substring_dedup": op2_substring_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_byte_bpe": op9_byte_bpe,
