@@ -5,10 +5,11 @@
    n-grams, so of ``k + m + 1`` hash parts of the n-gram space at least ``m + 1`` hold the same
    n-grams in both.  Sets that share such parts meet under one key; no linked pair is missed,
    and unlike sets hardly ever meet.
-3. Key groups are searched without listing their pairs: first each member against one pivot
-   (copies join here), then what is still apart in size-sorted *tiles*.  In a tile the
-   bit counts of hashed bitmaps bound the overlap from above, and only pairs that can reach
-   the threshold get the exact intersection of their sorted arrays.
+3. Key groups are searched in bounded, size-sorted *tiles*, without listing their pairs:
+   first shares of the members together with one pivot (copies join here), then block
+   against block what is still apart.  In a tile the bit counts of hashed bitmaps bound the
+   overlap from above, and only pairs that can reach the threshold get the exact
+   intersection of their sorted arrays.
 4. Links are contracted to components.
 
 Defined results: words are A-Z lower-cased; a document with fewer words than ``width`` is its
@@ -192,38 +193,6 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, bands: Band
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, schema)
 
 
-def _verify_pairs(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The linked ones of the pairs ``a``, ``b``."""
-
-    def side(name: str) -> DataFrame:
-        return sets.select(
-            F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"),
-            F.col("grams").alias(f"grams_{name}"),
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            a, b = np.asarray(col["n_a"], np.int64), np.asarray(col["n_b"], np.int64)
-            bits = [_unsigned(col[f"bits_{s}"].flatten()).reshape(-1, BITMAP_WORDS) for s in "ab"]
-            maybe = np.flatnonzero(_can_reach(*bits, a, b, num, den))
-            flat = [_unsigned(col[f"grams_{s}"].flatten()) for s in "ab"]
-            border = [np.concatenate([[0], np.cumsum(n)]) for n in (a, b)]
-            linked = [
-                i for i in maybe.tolist()
-                if reaches(_overlap(*(f[e[i] : e[i + 1]] for f, e in zip(flat, border, strict=True))), a[i], b[i], num, den)
-            ]
-            keep = pa.array(linked, pa.int64())
-            yield pa.RecordBatch.from_arrays([col["a"].take(keep), col["b"].take(keep)], ["a", "b"])
-
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", "n_a", "n_b", "bits_a", "bits_b", "grams_a", "grams_b"
-    )
-    return joined.mapInArrow(run, "a long, b long")
-
-
 def _tile_links(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     """Links between the members of a tile's two blocks that are still apart."""
     rows = rows.sort_values(["n", "node"], ignore_index=True)
@@ -269,6 +238,27 @@ def _apart(members: DataFrame) -> DataFrame:
     return members.join(groups, F.col("key") == F.col("_key")).drop("_key")
 
 
+def _pivot_links(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between members and one pivot each, in tiles of a pivot and a share of its members.
+
+    A member of many groups goes to the first of their pivots only, so its set moves once.
+    """
+    chosen = (
+        apart.where(F.col("node") != F.col("_pivot"))
+        .groupBy("node")
+        .agg(F.min(F.struct(F.hash("_pivot", F.lit(5)), F.col("_pivot"))).alias("_first"), F.min("root").alias("root"))
+        .select("node", "root", F.col("_first._pivot").alias("pivot"))
+    )
+    chosen = session.checkpointed(chosen)
+    shares = chosen.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS)).cast("long").alias("shares"))
+    pivots = shares.join(apart.select("node", "root").distinct(), F.col("pivot") == F.col("node")).select(
+        "node", "root", "pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share")
+    )
+    dealt = chosen.join(shares, "pivot").select("node", "root", "pivot", F.pmod(F.xxhash64("node"), "shares").alias("share"))
+    rows = sets.select("node", "n", "bits", "grams").join(ship.measured(pivots.unionByName(dealt)), "node")
+    return rows.groupBy("pivot", "share").applyInPandas(lambda group: _tile_links(group, num, den), "a long, b long")
+
+
 def _tiles(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links across components inside key groups, block against block of their size order."""
     # Groups of the same members are searched once.
@@ -320,14 +310,12 @@ def classes(
     nodes = members.select(F.col("node").alias("_node")).distinct()
     chosen = keyed.select("doc", "node").join(nodes, F.col("node") == F.col("_node")).groupBy("node").agg(F.min("doc").alias("_doc")).select("_doc")
     read = docs.join(ship.measured(chosen), F.col(id_col) == F.col("_doc"), "left_semi")
-    sets = session.checkpointed(sets_of(read, id_col, text_col, width, bands, "sets").drop("doc").dropDuplicates(["node"]))
+    sets = session.checkpointed(sets_of(read, id_col, text_col, width, bands, "sets").drop("doc"))
 
     links = roots = None
     for _ in range(2):
         apart = session.checkpointed(_apart(_with_roots(members, roots)))
-        pairs = apart.where("node <> _pivot").select(F.col("_pivot").alias("a"), F.col("node").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = session.checkpointed(_verify_pairs(pairs, sets, num, den))
+        found = session.checkpointed(_pivot_links(apart, sets, num, den))
         links = found if links is None else links.unionByName(found)
         roots = session.checkpointed(components(links))
         members = apart.select("key", "node")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, quality, ship, substring, toxicity
+from tidemark.llm import bpe, decontaminate, jaccard, quality, ship, substring, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,11 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(_table(spark, sf_dir, "documents"), width=3, threshold=(9, 10))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return rows.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode(_table(spark, sf_dir, "documents"), path, verify=True).select(
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_decontaminate": op10_decontaminate,
 }
