@@ -5,11 +5,10 @@
    n-grams, so of ``k + m + 1`` hash parts of the n-gram space at least ``m + 1`` hold the same
    n-grams in both.  Sets that share such parts meet under one key; no linked pair is missed,
    and unlike sets hardly ever meet.
-3. Key groups are searched in bounded, size-sorted *tiles*, without listing their pairs:
-   first shares of the members together with one pivot (copies join here), then block
-   against block what is still apart.  In a tile the bit counts of hashed bitmaps bound the
-   overlap from above, and only pairs that can reach the threshold get the exact
-   intersection of their sorted arrays.
+3. Key groups are searched without listing their pairs: first each member against one pivot
+   (copies join here), then what is still apart in bounded tiles of like sizes, block
+   against block.  The bit counts of hashed bitmaps bound an overlap from above, and only
+   pairs that can still reach the threshold get the exact intersection of their sorted arrays.
 4. Links are contracted to components.
 
 Defined results: words are A-Z lower-cased; a document with fewer words than ``width`` is its
@@ -193,33 +192,59 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, bands: Band
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, schema)
 
 
-def _tile_links(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """Links between the members of a tile's two blocks that are still apart."""
+def _sides(pairs: DataFrame, sets: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    for side in "ab":
+        own = sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+        pairs = pairs.join(own, side)
+    return pairs.select("a", "b", *[f"{c}_{side}" for c in columns for side in "ab"])
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose bitmaps do not rule a link out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [np.asarray(batch.column(i), np.int64) for i in (2, 3)]
+            bits = [_unsigned(batch.column(i).flatten()).reshape(-1, BITMAP_WORDS) for i in (4, 5)]
+            keep = pa.array(_can_reach(*bits, *sizes, num, den), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    return _sides(pairs, sets, ("n", "bits")).mapInArrow(run, "a long, b long")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that the intersection of their sorted arrays shows to be linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = [_unsigned(batch.column(i).flatten()) for i in (2, 3)]
+            sizes = [np.asarray(batch.column(i).value_lengths(), np.int64) for i in (2, 3)]
+            border = [np.concatenate([[0], np.cumsum(n)]) for n in sizes]
+            keep = [
+                reaches(_overlap(*(f[e[i] : e[i + 1]] for f, e in zip(flat, border, strict=True))), sizes[0][i], sizes[1][i], num, den)
+                for i in range(batch.num_rows)
+            ]
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    return _sides(pairs, sets, ("grams",)).mapInArrow(run, "a long, b long")
+
+
+def _tile_pairs(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """Pairs of a tile that are apart so far and that their sizes and bitmaps allow to link."""
     rows = rows.sort_values(["n", "node"], ignore_index=True)
     sizes, roots, nodes = rows["n"].to_numpy(), rows["root"].to_numpy(), rows["node"].to_numpy()
     bits = np.array(rows["bits"].tolist(), np.int64).view(np.uint64).reshape(-1, BITMAP_WORDS)
-    grams = [np.asarray(g, np.int64).view(np.uint64) for g in rows["grams"]]
-    root_of = {r: r for r in set(roots.tolist())}
-
-    def root(r):
-        while root_of[r] != r:
-            r = root_of[r]
-        return r
-
-    found = []
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in range(len(rows)):
         stop = int(np.searchsorted(sizes, sizes[i] * den // num, "right"))
         others = np.arange(i + 1, stop)
         others = others[roots[others] != roots[i]]
-        if not len(others):
-            continue
-        maybe = others[_can_reach(bits[i], bits[others], sizes[i], sizes[others], num, den)]
-        for j in maybe.tolist():
-            ri, rj = root(roots[i]), root(roots[j])
-            if ri != rj and reaches(_overlap(grams[i], grams[j]), sizes[i], sizes[j], num, den):
-                root_of[ri] = rj
-                found.append((nodes[i], nodes[j]))
-    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+        others = others[_can_reach(bits[i], bits[others], sizes[i], sizes[others], num, den)]
+        a.append(np.full(len(others), nodes[i]))
+        b.append(nodes[others])
+    low, high = np.concatenate(a), np.concatenate(b)
+    return pd.DataFrame({"a": np.minimum(low, high), "b": np.maximum(low, high)}).drop_duplicates()
 
 
 def _with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -238,29 +263,18 @@ def _apart(members: DataFrame) -> DataFrame:
     return members.join(groups, F.col("key") == F.col("_key")).drop("_key")
 
 
-def _pivot_links(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between members and one pivot each, in tiles of a pivot and a share of its members.
-
-    A member of many groups goes to the first of their pivots only, so its set moves once.
-    """
-    chosen = (
+def _pivot_pairs(apart: DataFrame) -> DataFrame:
+    """One pair for each member: with the first of the pivots of its groups."""
+    return (
         apart.where(F.col("node") != F.col("_pivot"))
         .groupBy("node")
-        .agg(F.min(F.struct(F.hash("_pivot", F.lit(5)), F.col("_pivot"))).alias("_first"), F.min("root").alias("root"))
-        .select("node", "root", F.col("_first._pivot").alias("pivot"))
-    )
-    chosen = session.checkpointed(chosen)
-    shares = chosen.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS)).cast("long").alias("shares"))
-    pivots = shares.join(apart.select("node", "root").distinct(), F.col("pivot") == F.col("node")).select(
-        "node", "root", "pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share")
+        .agg(F.min(F.struct(F.hash("_pivot", F.lit(5)), F.col("_pivot"))).alias("_first"))
+        .select(F.col("node").alias("a"), F.col("_first._pivot").alias("b"))
     )
-    dealt = chosen.join(shares, "pivot").select("node", "root", "pivot", F.pmod(F.xxhash64("node"), "shares").alias("share"))
-    rows = sets.select("node", "n", "bits", "grams").join(ship.measured(pivots.unionByName(dealt)), "node")
-    return rows.groupBy("pivot", "share").applyInPandas(lambda group: _tile_links(group, num, den), "a long, b long")
 
 
 def _tiles(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links across components inside key groups, block against block of their size order."""
+    """Possible pairs across components inside key groups, block against block of like sizes."""
     # Groups of the same members are searched once.
     told = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("_m"),
@@ -282,10 +296,10 @@ def _tiles(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         (F.col("size_class") - 1).alias("c"), F.lit(1).alias("up"), t.alias("s"), F.col("share").alias("t")))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("c"), F.lit(0).alias("up"), F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("t")))
     dealt = sized.withColumn("tile", F.explode(F.when(F.col("blocks") == 1, whole).otherwise(F.concat(own, upward, downward))))
-    rows = dealt.select("key", "tile.*", "node", "root").join(sets.select("node", "n", "bits", "grams"), "node")
+    rows = dealt.select("key", "tile.*", "node", "root").join(sets.select("node", "n", "bits"), "node")
     return rows.groupBy("key", "c", "up", "s", "t").applyInPandas(
-        lambda group: _tile_links(group, num, den), "a long, b long"
-    )
+        lambda group: _tile_pairs(group, num, den), "a long, b long"
+    ).distinct()
 
 
 def classes(
@@ -315,12 +329,14 @@ def classes(
     links = roots = None
     for _ in range(2):
         apart = session.checkpointed(_apart(_with_roots(members, roots)))
-        found = session.checkpointed(_pivot_links(apart, sets, num, den))
+        pairs = session.checkpointed(_possible(_pivot_pairs(apart), sets, num, den))
+        found = session.checkpointed(_linked(pairs, sets, num, den))
         links = found if links is None else links.unionByName(found)
         roots = session.checkpointed(components(links))
         members = apart.select("key", "node")
     rest = session.checkpointed(_apart(_with_roots(members, roots)).drop("_pivot"))
-    found = session.checkpointed(_tiles(rest, sets, num, den))
+    pairs = session.checkpointed(_tiles(rest, sets, num, den))
+    found = session.checkpointed(_linked(pairs, sets, num, den))
     if found.limit(1).count():
         roots = session.checkpointed(components(links.unionByName(found)))
 
@@ -331,3 +347,12 @@ def classes(
     return rooted.join(least.withColumnRenamed("root", "_root"), (F.col("root") == F.col("_root")) & (F.col("n") > 0), "left").select(
         F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_least", "doc").alias("component_id")
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, threshold: tuple[int, int] = (9, 10)
+) -> DataFrame:
+    """``docs`` with the smallest id of each class alone; documents without words all stay."""
+    dropped = classes(docs, id_col, text_col, width, threshold).where(F.col(id_col) != F.col("component_id"))
+    dropped = ship.measured(dropped.select(F.col(id_col).alias("_dropped")).distinct())
+    return docs.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
