@@ -257,3 +257,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
     return docs.select(F.col(text_col).alias("_text"), *names).mapInArrow(run, f"{fields}, score double")
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            for row, stop, t in tx.texts(batch.column(at), lower=True):
+                yield batch.slice(row, stop - row).filter(pa.array(own.scores(t) < threshold, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
