@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, quality, repair, ship, substring, token_counts, toxicity
+from tidemark.llm import bpe, decontaminate, jaccard, quality, repair, ship, substring, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(_table(spark, sf_dir, "pages"), least_revisit=0)
+
+
 def op4_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return repair.encode_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -79,6 +83,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_warc": op3_warc,
     "op4_repair_ids": op4_repair_ids,
     "op5_toxicity": op5_toxicity,
     "op7_ngram_jaccard": op7_ngram_jaccard,

@@ -38,7 +38,7 @@ class Ranges:
         self.file = system.open_input_file(path)
 
     def read(self, offset: int, length: int) -> bytes:
-        return self.file.read_at(length, offset).to_pybytes() if hasattr(self.file, "read_buffer_at") else self.file.read_at(length, offset)
+        return self.file.read_at(length, offset)
 
     def close(self) -> None:
         self.file.close()
