@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, quality, repair, ship, substring, token_counts, toxicity, warc
+from tidemark.llm import bpe, decontaminate, jaccard, ngrams, quality, repair, ship, substring, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _remainder() == 1
+    rows = ngrams.score(docs, ngrams.train(docs, learn=~held_out))
+    return rows.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(_table(spark, sf_dir, "documents"), width=3, threshold=(9, 10))
 
@@ -86,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_repair_ids": op4_repair_ids,
     "op5_toxicity": op5_toxicity,
+    "op6_ngram_scores": op6_ngram_scores,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
+import numpy as np
 from pyarrow import fs
 
 
@@ -42,3 +44,20 @@ class Ranges:
 
     def close(self) -> None:
         self.file.close()
+
+
+def mapped(uri: str) -> np.ndarray:
+    """The bytes of a file as a memory map.
+
+    A file that is not on a mounted system is copied once to a nameless local file, which
+    goes with the process.
+    """
+    system, path = _at(uri)
+    if isinstance(system, fs.LocalFileSystem):
+        return np.memmap(path, np.uint8, "r")
+    with tempfile.TemporaryFile() as copy:
+        with system.open_input_stream(path) as source:
+            while block := source.read(8 << 20):
+                copy.write(block)
+        copy.flush()
+        return np.memmap(copy, np.uint8, "r")
