@@ -116,9 +116,10 @@ def contained(
     candidates = ship.measured(hits)
 
     # Only documents with a candidate are read again, and only they are shingled as text.
-    again = docs.join(
-        ship.measured(candidates.select("_doc").distinct()), F.col(id_col) == F.col("_doc"), "left_semi"
-    ).select(F.col(id_col).alias("_doc"), words(F.col(text_col)).alias("_w"))
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
+    again = texts.join(ship.measured(candidates.select("_doc").distinct()), "_doc", "left_semi").select(
+        "_doc", words(F.col("_text")).alias("_w")
+    )
     flat = ship.measured(
         sets.select("_item", "_width", F.size("_shingles").cast("long").alias("_n"), F.explode("_shingles").alias("_s")),
         SHINGLE_ROWS,
@@ -150,5 +151,6 @@ def without_contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
     """``docs`` without the documents that contain an item; rows with a null id stay."""
-    found = contained(docs, items, id_col, text_col, **options).select(F.col(id_col).alias("_leaked")).distinct()
-    return docs.join(ship.measured(found), F.col(id_col) == F.col("_leaked"), "left_anti")
+    leaked = ship.free_name(docs, "_leaked")
+    found = contained(docs, items, id_col, text_col, **options).select(F.col(id_col).alias(leaked)).distinct()
+    return docs.join(ship.measured(found), F.col(id_col) == F.col(leaked), "left_anti")

@@ -323,8 +323,9 @@ def classes(
     # The sets of those nodes alone are built once more, from one document of each.
     nodes = members.select(F.col("node").alias("_node")).distinct()
     chosen = keyed.select("doc", "node").join(nodes, F.col("node") == F.col("_node")).groupBy("node").agg(F.min("doc").alias("_doc")).select("_doc")
-    read = docs.join(ship.measured(chosen), F.col(id_col) == F.col("_doc"), "left_semi")
-    sets = session.checkpointed(sets_of(read, id_col, text_col, width, bands, "sets").drop("doc"))
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
+    read = texts.join(ship.measured(chosen), "_doc", "left_semi")
+    sets = session.checkpointed(sets_of(read, "_doc", "_text", width, bands, "sets").drop("doc"))
 
     links = roots = None
     for _ in range(2):
@@ -353,6 +354,7 @@ def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, threshold: tuple[int, int] = (9, 10)
 ) -> DataFrame:
     """``docs`` with the smallest id of each class alone; documents without words all stay."""
-    dropped = classes(docs, id_col, text_col, width, threshold).where(F.col(id_col) != F.col("component_id"))
-    dropped = ship.measured(dropped.select(F.col(id_col).alias("_dropped")).distinct())
-    return docs.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    name = ship.free_name(docs, "_dropped")
+    found = classes(docs, id_col, text_col, width, threshold).where(F.col(id_col) != F.col("component_id"))
+    dropped = ship.measured(found.select(F.col(id_col).alias(name)).distinct())
+    return docs.join(dropped, F.col(id_col) == F.col(name), "left_anti")

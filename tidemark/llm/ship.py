@@ -59,3 +59,11 @@ def measured(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """
     kept = session.checkpointed(df)
     return F.broadcast(kept) if kept.count() <= limit else kept
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, for a join with all its columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

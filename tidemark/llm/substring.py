@@ -350,9 +350,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows are matched by their id, which has to be that of one text; a null id stays whole.
     """
-    changed = removals(docs, id_col, text_col, span).where("kept IS NOT NULL").select(
-        F.col(id_col).alias("_changed"), F.col("kept").alias("_kept")
-    ).dropDuplicates(["_changed"])
-    return docs.join(changed, F.col(id_col) == F.col("_changed"), "left").select(
-        *[F.coalesce("_kept", text_col).alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    changed, kept = ship.free_name(docs, "_changed"), ship.free_name(docs, "_kept")
+    cut = removals(docs, id_col, text_col, span).where("kept IS NOT NULL").select(
+        F.col(id_col).alias(changed), F.col("kept").alias(kept)
+    ).dropDuplicates([changed])
+    return docs.join(cut, F.col(id_col) == F.col(changed), "left").select(
+        *[F.coalesce(kept, text_col).alias(c) if c == text_col else F.col(c) for c in docs.columns]
     )
