@@ -69,11 +69,11 @@ def fake_connection(folder):
 def test_batched_statements(spark, tmp_path):
     folder = str(tmp_path)
     df = spark.range(25).select(
-        F.col("id").alias("ts"), F.lit("A").alias("hbdm"), F.lit(1).alias("num")
+        F.col("id").alias("k"), F.lit("A").alias("name"), F.lit(1).alias("v")
     ).coalesce(2)
-    columns = ["ts", "hbdm", "num"]
-    statement = upsert.replace_statement("rate", columns)
-    assert statement == "REPLACE INTO rate(ts,hbdm,num) values(?,?,?)"
+    columns = ["k", "name", "v"]
+    statement = upsert.replace_statement("target", columns)
+    assert statement == "REPLACE INTO target(k,name,v) values(?,?,?)"
     upsert.write_batched(df, fake_connection(folder), statement, columns, batch_size=10)
     calls = [c for p in tmp_path.glob("*.json") for c in json.loads(p.read_text())]
     assert sorted(r[0] for _, rows in calls for r in rows) == list(range(25))
@@ -119,7 +119,7 @@ def test_text_stream_to_distinct_words(spark, tmp_path):
     words = project.distinct_words(files.stream_text(spark, str(tmp_path / "in")), "value")
     out = str(tmp_path / "out")
     sinks.drain(files.stream_files(words, out, str(tmp_path / "check")))
-    assert sorted(r.word for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+    assert sorted(r.word for r in spark.read.parquet(out).collect()) == ["", "a", "b", "c"]
 
 
 def test_bloom_dedup_across_batches(spark, tmp_path):
@@ -140,7 +140,34 @@ def test_bloom_dedup_across_batches(spark, tmp_path):
     assert 98 <= len(kept) <= 100
     sink.compact(spark, str(tmp_path / "compacted"), 2)
     words = spark.read.parquet(str(tmp_path / "compacted"))
-    assert words.count() == words.select("word").distinct().count()
+    assert words.count() == words.select("part", "word").distinct().count()
+
+
+def test_bloom_dedup_far_beyond_the_expected_keys(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sink = sinks.BloomDedup(str(tmp_path / "filter"), out, ["k"], ["k"], expected=500, fpp=0.01)
+    for number in range(3):
+        sink(spark.range(10_000 * number, 10_000 * (number + 1)).withColumnRenamed("id", "k"), number)
+        sink(spark.range(10_000 * number).withColumnRenamed("id", "k"), 100 + number)
+    kept = spark.read.parquet(out).select("k")
+    assert kept.count() == kept.distinct().count()
+    assert kept.count() >= 30_000 * 0.98
+
+
+def test_a_new_checkpoint_keeps_what_an_earlier_run_wrote(spark, tmp_path):
+    log = upsert.UpsertLog(str(tmp_path / "log"), ["k"], ["v"])
+    fan = sinks.FanOut({str(tmp_path / "fan"): lambda b: b})
+    bloom = sinks.BloomDedup(str(tmp_path / "filter"), str(tmp_path / "kept"), ["k"], ["v"])
+    for run, rows in enumerate(([("a", 1), ("c", 5)], [("b", 2), ("c", 4)])):
+        source = str(tmp_path / f"in{run}")
+        spark.createDataFrame(rows, "k STRING, v INT").write.parquet(source)
+        for n, sink in enumerate((log, fan, bloom)):
+            stream = files.stream_table(spark, source, "k STRING, v INT", files_per_trigger=10)
+            sinks.drain(sinks.each_batch(stream, sink, str(tmp_path / f"check{run}{n}")))
+    assert sorted(map(tuple, log.read(spark).collect())) == [("a", 1), ("b", 2), ("c", 4)]
+    assert spark.read.parquet(str(tmp_path / "fan")).count() == 4
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    assert sorted((r.k, r.v) for r in kept.collect()) == [("a", 1), ("b", 2), ("c", 5)]
 
 
 def test_bloom_never_lets_a_seen_key_through(spark):
@@ -233,3 +260,10 @@ def test_window_join(spark, salt):
         (10000, 10001, 20),
     ]
     assert len(rows[0]) == 9
+
+
+def test_console_sink_takes_every_row(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("a",), ("b",)], "value STRING").write.text(source)
+    query = sinks.drain(files.stream_console(files.stream_text(spark, source), str(tmp_path / "check")))
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 2

@@ -249,6 +249,14 @@ def test_group_count_updates(feed, rates):
     same(last, aggregate.group_count(rates), "hbdm", "cnt_num")
 
 
+def test_update_mode_returns_the_last_row_of_each_key(feed, rates):
+    feed.add(ROWS[:80], ROWS[80:160], ROWS[160:])
+    got = sinks.run_to_table(aggregate.group_count(feed.stream(None)), "update", ["hbdm"])
+    expected = aggregate.group_count(rates)
+    assert got.count() == expected.count()
+    same(got, expected, "hbdm", "cnt_num")
+
+
 def test_state_is_bounded(feed):
     """Rows of long-gone keys leave the state once the watermark has passed them."""
     batches = [

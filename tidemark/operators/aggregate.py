@@ -11,8 +11,7 @@ def group_count(df: DataFrame, key: str = "hbdm", value: str = "num") -> DataFra
     return df.groupBy(key).agg(F.count(value).alias("cnt_num"))
 
 
-def group_sum_sql(df: DataFrame, key: str = "hbdm", value: str = "num", view: str = "rate") -> DataFrame:
-    df.createOrReplaceTempView(view)
+def group_sum_sql(df: DataFrame, key: str = "hbdm", value: str = "num") -> DataFrame:
     return df.sparkSession.sql(
-        f"SELECT `{key}`, sum(`{value}`) AS sum_num FROM {view} GROUP BY `{key}`"
+        f"SELECT `{key}`, sum(`{value}`) AS sum_num FROM {{rate}} GROUP BY `{key}`", rate=df
     )

@@ -142,14 +142,3 @@ def bloom_antifilter(
     marked = bloom_mark(df, bloom_words(seen, keys, words, k), keys, words, k, "_seen")
     return marked.filter(~F.col("_seen")).drop("_seen")
 
-
-def bloom_dedup(
-    df: DataFrame,
-    seen: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    expected: int | None = None,
-    fpp: float = 0.01,
-) -> DataFrame:
-    """First row per key of ``df`` whose key was not seen before, by bloom filter."""
-    return bloom_antifilter(first_per(df, keys, order), seen, keys, expected, fpp)

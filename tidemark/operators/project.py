@@ -34,11 +34,10 @@ def equals(df: DataFrame, column: str, value: object) -> DataFrame:
     return df.filter(F.col(column) == F.lit(value))
 
 
-def sql_equals(df: DataFrame, column: str, value: object, view: str = "rate") -> DataFrame:
-    """The same filter as SQL text over a registered table."""
-    df.createOrReplaceTempView(view)
+def sql_equals(df: DataFrame, column: str, value: object) -> DataFrame:
+    """The same filter as SQL text over the table."""
     return df.sparkSession.sql(
-        f"SELECT * FROM {view} WHERE `{column}` = :wanted", args={"wanted": value}
+        f"SELECT * FROM {{rate}} WHERE `{column}` = {{wanted}}", rate=df, wanted=value
     )
 
 
@@ -76,9 +75,22 @@ def retry_routes(log_type: str = "type") -> dict[str, Column]:
 
 
 def words(df: DataFrame, text: str, keep: Sequence[str] = (), word: str = "word") -> DataFrame:
-    """One row per word of the whole text; empty words are left out."""
-    pieces = df.select(*keep, F.explode(F.split(F.col(text), " ")).alias(word))
-    return pieces.filter(F.col(word) != "")
+    """One row per word of every line of the text; lines are cut at single blanks.
+
+    Blanks side by side have an empty word between them, and an empty line is one empty
+    word.  Blanks at the end of a line, a final line break and an empty text add nothing.
+    """
+    lines = F.split(F.regexp_replace(F.col(text), "\\r?\\n$", ""), "\\r?\\n")
+
+    def cut(line: Column) -> Column:
+        return (
+            F.when(line == "", F.array(F.lit("")))
+            .when(F.rtrim(line) == "", F.array().cast("array<string>"))
+            .otherwise(F.split(F.rtrim(line), " "))
+        )
+
+    read = df.filter(F.col(text) != "")
+    return read.select(*keep, F.explode(F.flatten(F.transform(lines, cut))).alias(word))
 
 
 def distinct_words(df: DataFrame, text: str, word: str = "word") -> DataFrame:

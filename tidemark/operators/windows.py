@@ -83,6 +83,7 @@ def session(
     task, so a batch table with a hot key is cut into chunks instead; ``tie`` then
     orders rows of equal time.
     """
+    df = df.filter(F.col(et).isNotNull())  # both plans: a row without a time has no session
     if not df.isStreaming:
         chunks = ordered.chunks_needed(df, keys, rows_per_task)
         if chunks:
@@ -165,12 +166,6 @@ def _unpack(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def rowtime(w_end: Column | str) -> Column:
-    """The last millisecond that belongs to a window."""
-    end = F.col(w_end) if isinstance(w_end, str) else w_end
-    return end - _interval(1)
-
-
 def rate_summary(df: DataFrame, et: str = "et", size: str = "1 second", key: str = "hbdm") -> DataFrame:
     """Sum of ``num`` with the first and last ``ts`` per key and tumbling window."""
     return tumble(
@@ -186,8 +181,7 @@ def rate_summary(df: DataFrame, et: str = "et", size: str = "1 second", key: str
     )
 
 
-def sql_tumble(df: DataFrame, size: str, et: str = "et", view: str = "rate") -> DataFrame:
-    df.createOrReplaceTempView(view)
+def sql_tumble(df: DataFrame, size: str, et: str = "et") -> DataFrame:
     return df.sparkSession.sql(
         f"""
         SELECT hbdm,
@@ -196,36 +190,37 @@ def sql_tumble(df: DataFrame, size: str, et: str = "et", view: str = "rate") ->
                window.end - INTERVAL '0.001' SECOND AS r_time,
                count(num) AS cnt_num,
                count(1) AS cnt_all
-        FROM {view}
+        FROM {{rate}}
         GROUP BY window({et}, '{size}'), hbdm
-        """
+        """,
+        rate=df,
     )
 
 
-def sql_hop(df: DataFrame, slide: str, size: str, et: str = "et", view: str = "rate") -> DataFrame:
+def sql_hop(df: DataFrame, slide: str, size: str, et: str = "et") -> DataFrame:
     """Hopping windows; the order of ``slide`` and ``size`` is that of SQL ``HOP``."""
-    df.createOrReplaceTempView(view)
     return df.sparkSession.sql(
         f"""
         SELECT hbdm,
                window.start AS r_start,
                window.end AS r_end,
                count(num) AS cnt_num
-        FROM {view}
+        FROM {{rate}}
         GROUP BY window({et}, '{size}', '{slide}'), hbdm
-        """
+        """,
+        rate=df,
     )
 
 
-def sql_session(df: DataFrame, gap: str, et: str = "et", view: str = "rate") -> DataFrame:
-    df.createOrReplaceTempView(view)
+def sql_session(df: DataFrame, gap: str, et: str = "et") -> DataFrame:
     return df.sparkSession.sql(
         f"""
         SELECT hbdm,
                session_window.start AS s_start,
                session_window.end AS s_end,
                count(num) AS cnt_num
-        FROM {view}
+        FROM {{rate}}
         GROUP BY session_window({et}, '{gap}'), hbdm
-        """
+        """,
+        rate=df,
     )

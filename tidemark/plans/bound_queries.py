@@ -7,7 +7,7 @@ Events are sparse, so durations are hours where the live jobs use seconds.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -404,14 +404,9 @@ def dedup_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.dedup_window(devices, "6 hours", ARRIVAL, ["source_id", "code"])
 
 
-def _short_codes(rates: DataFrame) -> DataFrame:
-    """Three-letter codes, as longer ones push the time out of the hash."""
-    return rates.withColumn("hbdm", F.upper(F.substring("hbdm", 1, 3)))
-
-
 @query
 def dedup_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = _short_codes(tables.rates(spark, sf_dir).select("event_id", "ts", "hbdm"))
+    rates = tables.rates(spark, sf_dir).select("event_id", "ts", "hbdm")
     return dedup.dedup_bitmap(rates, "1 hour", ARRIVAL)
 
 
@@ -605,13 +600,13 @@ def _watermarked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.stream_rates(spark, sf_dir).withWatermark("et", DELAY)
 
 
-def _drained(df: DataFrame, mode: str = "append") -> DataFrame:
-    return _naive(sinks.run_to_table(df, mode))
+def _drained(df: DataFrame, mode: str = "append", keys: Sequence[str] = ()) -> DataFrame:
+    return _naive(sinks.run_to_table(df, mode, keys))
 
 
 @query
 def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drained(aggregate.group_count(tables.stream_rates(spark, sf_dir)), "update")
+    return _drained(aggregate.group_count(tables.stream_rates(spark, sf_dir)), "update", ["hbdm"])
 
 
 @query
@@ -661,7 +656,7 @@ def stream_dedup_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = _short_codes(tables.stream_rates(spark, sf_dir))
+    rates = tables.stream_rates(spark, sf_dir)
     unique = stream_dedup.dedup_bitmap(rates, "1 hour", DELAY)
     return _drained(unique.select("window_end", "offset"))
 

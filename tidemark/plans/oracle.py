@@ -126,12 +126,21 @@ list_reduce(list_prepend(0::BIGINT, list_transform(string_split({key}, ''),
 """
 
 _BITMAP = f"""
-short AS (
-  SELECT event_id, ts, upper(substr(hbdm, 1, 3)) AS hbdm FROM rate
-), placed AS (
+placed AS (
   SELECT *, (ts // 3600000 + 1) * 3600000 AS window_end,
          {_HASH.format(key="((ts // 1000)::VARCHAR || hbdm)")} AS "offset"
-  FROM short
+  FROM rate
+)
+"""
+
+_WORDS = r"""
+WITH lines AS (
+  SELECT doc_id, string_split(regexp_replace(replace(text, chr(13) || chr(10), chr(10)), '\n$', ''), chr(10)) AS l
+  FROM documents WHERE text <> ''
+), words AS (
+  SELECT doc_id, unnest(flatten(list_transform(l, lambda x: CASE WHEN x = '' THEN ['']
+         WHEN rtrim(x, ' ') = '' THEN [] ELSE string_split(rtrim(x, ' '), ' ') END))) AS word
+  FROM lines
 )
 """
 
@@ -235,14 +244,8 @@ SELECT event_id, type, CASE type WHEN 'AIRPORT_RETRY' THEN 'airport_retry'
        WHEN 'DRONE_RETRY' THEN 'drone_retry' ELSE 'main' END AS route
 FROM (SELECT event_id, {_COMMAND_TYPE} AS type FROM rate) WHERE type <> 'SIGNUP'
 """,
-    "split_words": """
-SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents)
-WHERE word <> ''
-""",
-    "split_words_distinct": """
-SELECT DISTINCT word FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
-WHERE word <> ''
-""",
+    "split_words": _WORDS + "SELECT doc_id, word FROM words",
+    "split_words_distinct": _WORDS + "SELECT DISTINCT word FROM words",
     "time_bucket": _with()
     + """
 SELECT event_id, ts // 1000 AS "second", ts // 10000 AS ten_seconds,

@@ -60,23 +60,6 @@ DEVICE_EVENT = T.StructType(
     ]
 )
 
-MOCK_USER = T.StructType(
-    [
-        T.StructField("id", T.IntegerType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("ts", T.LongType()),
-        T.StructField("action", T.IntegerType()),
-    ]
-)
-
-PERSON = T.StructType(
-    [
-        T.StructField("age", T.IntegerType()),
-        T.StructField("sex", T.BooleanType()),
-        T.StructField("name", T.StringType()),
-    ]
-)
-
 # The allowed log types of a command log record.
 LOG_TYPES = (
     "AIRPORT",

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemark.functions.time import duration_ms
 
 
 @dataclass(frozen=True)
@@ -62,12 +61,9 @@ class MessageLog:
         checkpoint: str,
         topic: str | None = None,
         name: str | None = None,
-        transaction_timeout: str | None = None,
     ) -> DataStreamWriter:
         """Append messages; Spark's sink repeats a message when a batch is retried."""
         options = self.writer_options(topic)
-        if transaction_timeout:
-            options["kafka.transaction.timeout.ms"] = str(duration_ms(transaction_timeout))
         writer = (
             df.writeStream.format("kafka")
             .outputMode("append")

@@ -23,6 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder, in whatever file system it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def rate_view(events: DataFrame) -> DataFrame:
     """Events as rates: ``event_id, user_id, et, ts, hbdm, num``.
 
@@ -43,12 +54,16 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rate view as a stream, with ``et`` as a timestamp that can be watermarked."""
+    """The rate view as a stream, with ``et`` as a timestamp that can be watermarked.
+
+    The table may be one file or a folder of part files; a stream source reads folders,
+    so a single file is picked out of the folder above it.
+    """
     session.configure(spark)
-    raw = (
-        spark.readStream.schema(EVENTS)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", FILES_PER_TRIGGER)
-        .parquet(sf_dir)
-    )
+    reader = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+    path = f"{sf_dir}/events.parquet"
+    if is_folder(spark, path):
+        raw = reader.parquet(path)
+    else:
+        raw = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return rate_view(raw).withColumn("et", F.col("et").cast("timestamp"))

@@ -6,10 +6,27 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.changelog import latest_per
 
 BATCH_COLUMN = "batch_id"
+RUN_COLUMN = "run"
+WRITTEN_COLUMN = "written_at"
+
+
+def run_of(batch: DataFrame) -> str:
+    """The id of the stream that a micro-batch comes from; ``direct`` outside of one.
+
+    A stream keeps its id for as long as its checkpoint lives, and batch numbers start
+    again with a new checkpoint, so files are kept apart by both.
+    """
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
+def partition_of(batch: DataFrame, batch_id: int) -> str:
+    """The folder of one batch of one run, which a retry of the batch overwrites."""
+    return f"{RUN_COLUMN}={run_of(batch)}/{BATCH_COLUMN}={batch_id}"
 
 
 class UpsertLog:
@@ -29,19 +46,23 @@ class UpsertLog:
         self.write(batch, batch_id)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        latest_per(batch, self.keys, self.order).write.mode("overwrite").parquet(
-            f"{self.path}/{BATCH_COLUMN}={batch_id}"
-        )
+        latest_per(batch, self.keys, self.order).withColumn(
+            WRITTEN_COLUMN, F.current_timestamp()
+        ).write.mode("overwrite").parquet(f"{self.path}/{partition_of(batch, batch_id)}")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The current row of each key; a later batch wins over an earlier one."""
+        """The current row of each key; a later batch wins over an earlier one, also of another run."""
         log = spark.read.parquet(self.path)
-        return latest_per(log, self.keys, [BATCH_COLUMN, *self.order]).drop(BATCH_COLUMN)
+        return latest_per(log, self.keys, [WRITTEN_COLUMN, BATCH_COLUMN, *self.order]).drop(
+            WRITTEN_COLUMN, RUN_COLUMN, BATCH_COLUMN
+        )
 
     def compact(self, spark: SparkSession, target: str) -> UpsertLog:
         """Write the current rows as the first batch of a new log."""
         compacted = UpsertLog(target, self.keys, self.order)
-        self.read(spark).write.mode("overwrite").parquet(f"{target}/{BATCH_COLUMN}=0")
+        self.read(spark).withColumn(WRITTEN_COLUMN, F.current_timestamp()).write.mode("overwrite").parquet(
+            f"{target}/{RUN_COLUMN}=compacted/{BATCH_COLUMN}=0"
+        )
         return compacted
 
 
@@ -82,16 +103,3 @@ def write_batched(
 
     df.select(*columns).foreachPartition(send)
 
-
-def jdbc_append(df: DataFrame, url: str, table: str, driver: str, batch_size: int = 1000, **options: str) -> None:
-    """Append through Spark's JDBC writer; the driver jar has to be on the class path."""
-    (
-        df.write.format("jdbc")
-        .option("url", url)
-        .option("dbtable", table)
-        .option("driver", driver)
-        .option("batchsize", batch_size)
-        .options(**options)
-        .mode("append")
-        .save()
-    )
