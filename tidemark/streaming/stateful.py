@@ -67,9 +67,33 @@ def _frame(columns: list[list], names: Sequence[str]) -> pd.DataFrame:
     )
 
 
-def _numbers(values: pd.Series) -> np.ndarray:
-    """Integers with null as zero."""
-    return values.map(lambda v: 0 if v is None else v).to_numpy(dtype=np.int64)
+def _running(values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Exact running sums, from 0 on, and running numbers of the values that are not null.
+
+    Python's own numbers are added: they neither wrap nor round.
+    """
+    known = values.notna().to_numpy()
+    numbers = np.zeros(len(values) + 1, dtype=object)
+    numbers[1:][known] = values.to_numpy(dtype=object)[known]
+    return np.cumsum(numbers), np.concatenate([[0], np.cumsum(known)])
+
+
+def _between(sums: np.ndarray, known: np.ndarray, low: np.ndarray, high: np.ndarray) -> pd.Series:
+    """Sums over places ``low`` to ``high``, null where all values are null."""
+    total = sums[high] - sums[low]
+    return pd.Series(np.where(known[high] > known[low], total, None), dtype=object)
+
+
+def _sum_type(df: DataFrame, value: str) -> str:
+    """The type of an exact sum, as ``sum`` has it."""
+    kind = df.schema[value].dataType
+    if isinstance(kind, T.IntegralType):
+        return "BIGINT"
+    if isinstance(kind, T.DecimalType):
+        return f"DECIMAL({min(38, kind.precision + 10)},{kind.scale})"
+    raise TypeError(
+        f"{value} must be an integer or decimal column: running totals are kept, which floating point would round"
+    )
 
 
 class InEventOrder(StatefulProcessor):
@@ -194,10 +218,9 @@ class RowFrame(InEventOrder):
 
     def compute(self, tail, ready):
         both = pd.concat([tail, ready], ignore_index=True)
-        sums = np.concatenate([[0], np.cumsum(_numbers(both[self.value]))])
         here = np.arange(len(tail), len(both))
         low = np.maximum(here - self.preceding, 0)
-        out = ready.assign(sum_num=sums[here + 1] - sums[low])
+        out = ready.assign(sum_num=_between(*_running(both[self.value]), low, here + 1))
         keep = both.iloc[max(0, len(both) - self.preceding) :] if self.preceding else both.iloc[0:0]
         return out, keep
 
@@ -212,12 +235,11 @@ class TimeFrame(InEventOrder):
     def compute(self, tail, ready):
         both = pd.concat([tail, ready], ignore_index=True)
         us = both[US].to_numpy(dtype=np.int64)
-        sums = np.concatenate([[0], np.cumsum(_numbers(both[self.value]))])
         now = us[len(tail) :]
         span = self.horizon_ms * 1000
         low = np.searchsorted(us, now - span, side="left")
         high = np.searchsorted(us, now, side="right")
-        out = ready.assign(sum_num=sums[high] - sums[low])
+        out = ready.assign(sum_num=_between(*_running(both[self.value]), low, high))
         return out, both[us >= us[-1] - span]
 
 
@@ -229,15 +251,15 @@ class Unbounded(InEventOrder):
         self.value = value
 
     def tail_schema(self) -> T.StructType:
-        return T.StructType([T.StructField(US, T.LongType()), T.StructField("total", T.LongType())])
+        return T.StructType([T.StructField(US, T.LongType()), self.output["sum_num"]])
 
     def compute(self, tail, ready):
-        before = int(tail["total"].iloc[0]) if len(tail) else 0
         us = ready[US].to_numpy(dtype=np.int64)
-        sums = before + np.cumsum(_numbers(ready[self.value]))
-        last_peer = np.searchsorted(us, us, side="right") - 1
-        out = ready.assign(sum_num=sums[last_peer])
-        return out, _frame([[int(us[-1])], [int(sums[-1])]], [US, "total"])
+        before = pd.Series([tail["sum_num"].iloc[0] if len(tail) else None], dtype=object)
+        sums, known = _running(pd.concat([before, ready[self.value]], ignore_index=True))
+        after = 1 + np.searchsorted(us, us, side="right")
+        totals = _between(sums, known, np.zeros(len(us), np.int64), after)
+        return ready.assign(sum_num=totals), _frame([[int(us[-1])], [totals.iloc[-1]]], [US, "sum_num"])
 
 
 class SessionFirst(InEventOrder):
@@ -402,6 +424,7 @@ def _apply(
     helpers = flags or {}
     columns = list(dict.fromkeys([*keys, *order, *payload]))
     groups = _groups(keys)
+    df = df.filter(F.col(et).isNotNull())  # as the built-in event-time operators do
     staged = df.select(
         et,
         epoch_us(et).alias(US),
@@ -438,7 +461,7 @@ def over_rows(
     preceding: int,
 ) -> DataFrame:
     return _apply(
-        df, keys, et, [value], order, {"sum_num": "BIGINT"},
+        df, keys, et, [value], order, {"sum_num": _sum_type(df, value)},
         lambda rows, out: RowFrame(rows, order, out, value, preceding),
     )
 
@@ -447,7 +470,7 @@ def over_range_time(
     df: DataFrame, keys: Sequence[str], et: str, order: Sequence[str], value: str, length: str
 ) -> DataFrame:
     return _apply(
-        df, keys, et, [value], order, {"sum_num": "BIGINT"},
+        df, keys, et, [value], order, {"sum_num": _sum_type(df, value)},
         lambda rows, out: TimeFrame(rows, order, out, value, duration_ms(length)),
     )
 
@@ -456,7 +479,7 @@ def over_range_unbounded(
     df: DataFrame, keys: Sequence[str], et: str, order: Sequence[str], value: str
 ) -> DataFrame:
     return _apply(
-        df, keys, et, [value], order, {"sum_num": "BIGINT"},
+        df, keys, et, [value], order, {"sum_num": _sum_type(df, value)},
         lambda rows, out: Unbounded(rows, order, out, value),
     )
 
