@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from tidemark.llm import jaccard, ship
@@ -91,6 +92,20 @@ def test_large_group_of_near_copies_uses_tiles(spark, monkeypatch):
     assert _found(spark, rows) == _classes(rows)
 
 
+def test_bitmaps_never_rule_a_link_out():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 40, 300, 2000):
+        for _ in range(30):
+            both = np.unique(rng.integers(0, 1 << 60, n).astype(np.uint64))
+            own = [np.unique(np.concatenate([both, rng.integers(0, 1 << 60, rng.integers(0, 1 + n // 8)).astype(np.uint64)])) for _ in "ab"]
+            sizes = np.array([len(x) for x in own])
+            bits, words = jaccard.bitmaps(np.concatenate(own), sizes)
+            least = int(words.min())
+            pair = [jaccard.folded(x, least) for x in np.split(bits, [words[0]])]
+            if jaccard.reaches(len(both), *sizes, 9, 10):
+                assert jaccard._can_reach(*pair, *sizes, 9, 10)
+
+
 def test_empty_table(spark):
     assert _found(spark, []) == {}
 

@@ -32,8 +32,9 @@ from tidemark.llm import ship
 from tidemark.llm import text as tx
 from tidemark.llm.components import components
 
-BITMAP_WORDS = 16
-TILE_ROWS = 128
+#: Least number of n-grams for which a bitmap has one 64-bit word: bits are four times the n-grams.
+GRAMS_PER_WORD = 16
+TILE_ROWS = 2_048
 _BAND_RATIO = 1.5
 #: Up to so many differing n-grams, keys are made of two parts instead of one.
 _PAIRED_UP_TO = 14
@@ -128,13 +129,26 @@ def part_keys(grams: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.nd
     return keys[order], np.bincount(owners, minlength=len(sizes))
 
 
-def bitmaps(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A hashed bitmap for each document, ``BITMAP_WORDS`` 64-bit words wide."""
-    bit = tx.mix_with(grams, 23) % np.uint64(64 * BITMAP_WORDS)
+def bitmap_words(sizes: np.ndarray) -> np.ndarray:
+    """Words of a bitmap, a power of two that grows with the set."""
+    needed = np.maximum(1, -(-sizes // GRAMS_PER_WORD))
+    return 1 << np.ceil(np.log2(needed)).astype(np.int64)
+
+
+def bitmaps(grams: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hashed bitmap for each document, one after the other, and their words."""
+    words = bitmap_words(sizes)
+    start = np.cumsum(words) - words
     owner = np.repeat(np.arange(len(sizes)), sizes).astype(np.int64)
-    out = np.zeros(len(sizes) * BITMAP_WORDS, np.uint64)
-    np.bitwise_or.at(out, owner * BITMAP_WORDS + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-    return out.reshape(len(sizes), BITMAP_WORDS)
+    bit = tx.mix_with(grams, 23) & (words[owner] * 64 - 1).astype(np.uint64)
+    out = np.zeros(int(words.sum()), np.uint64)
+    np.bitwise_or.at(out, start[owner] + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out, words
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap at a smaller width: its parts laid over each other."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
 
 
 def reaches(shared, a, b, num: int, den: int):
@@ -182,8 +196,8 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, bands: Band
                     keys, counts = part_keys(grams, sizes, bands)
                     columns.append(tx.list_array(keys.view(np.int64), counts, pa.int64()))
                 else:
-                    bits = bitmaps(grams, sizes).reshape(-1).view(np.int64)
-                    columns.append(tx.list_array(bits, np.full(t.docs, BITMAP_WORDS), pa.int64()))
+                    bits, words = bitmaps(grams, sizes)
+                    columns.append(tx.list_array(bits.view(np.int64), words, pa.int64()))
                     columns.append(tx.list_array(grams.view(np.int64), sizes, pa.int64()))
                 yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "node", *extra])
 
@@ -205,8 +219,15 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = [np.asarray(batch.column(i), np.int64) for i in (2, 3)]
-            bits = [_unsigned(batch.column(i).flatten()).reshape(-1, BITMAP_WORDS) for i in (4, 5)]
-            keep = pa.array(_can_reach(*bits, *sizes, num, den), pa.bool_())
+            flat = [_unsigned(batch.column(i).flatten()) for i in (4, 5)]
+            words = [np.asarray(batch.column(i).value_lengths(), np.int64) for i in (4, 5)]
+            border = [np.concatenate([[0], np.cumsum(w)]) for w in words]
+            maybe = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                least = int(min(words[0][i], words[1][i]))
+                pair = [folded(f[e[i] : e[i + 1]], least) for f, e in zip(flat, border, strict=True)]
+                maybe[i] = _can_reach(*pair, sizes[0][i], sizes[1][i], num, den)
+            keep = pa.array(maybe, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
     return _sides(pairs, sets, ("n", "bits")).mapInArrow(run, "a long, b long")
@@ -234,7 +255,9 @@ def _tile_pairs(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     """Pairs of a tile that are apart so far and that their sizes and bitmaps allow to link."""
     rows = rows.sort_values(["n", "node"], ignore_index=True)
     sizes, roots, nodes = rows["n"].to_numpy(), rows["root"].to_numpy(), rows["node"].to_numpy()
-    bits = np.array(rows["bits"].tolist(), np.int64).view(np.uint64).reshape(-1, BITMAP_WORDS)
+    # Sets of like sizes have like widths; the narrowest of the tile is used for all.
+    width = int(bitmap_words(sizes).min(initial=1 << 40))
+    bits = np.stack([folded(np.asarray(x, np.int64).view(np.uint64), width) for x in rows["bits"]])
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in range(len(rows)):
         stop = int(np.searchsorted(sizes, sizes[i] * den // num, "right"))
