@@ -35,6 +35,8 @@ from tidemark.llm.components import components
 #: Least number of n-grams for which a bitmap has one 64-bit word: bits are four times the n-grams.
 GRAMS_PER_WORD = 16
 TILE_ROWS = 2_048
+#: Most shared keys (eight bytes each) that are broadcast to find their members.
+KEY_ROWS = 4_000_000
 _BAND_RATIO = 1.5
 #: Up to so many differing n-grams, keys are made of two parts instead of one.
 _PAIRED_UP_TO = 14
@@ -341,7 +343,7 @@ def classes(
         exploded.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high"))
         .where("_low <> _high").select("key")
     )
-    members = session.checkpointed(exploded.join(ship.measured(shared), "key").distinct())
+    members = session.checkpointed(exploded.join(ship.measured(shared, KEY_ROWS), "key").distinct())
 
     # The sets of those nodes alone are built once more, from one document of each.
     nodes = members.select(F.col("node").alias("_node")).distinct()
