@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +30,24 @@ def bit_offset(text: Column | str, bits: int = 30) -> Column:
     return total.bitwiseAND(mask)
 
 
+#: A 64-bit number out of a seed and key columns.
+KeyHash = Callable[[int, Sequence[str]], Column]
+
+#: Bits per key that a filter may have: few are tried one by one, many in wider steps.
+_BITS_PER_KEY = (*range(4, 65), *range(72, 129, 8), *range(144, 257, 16), *range(320, 1025, 64))
+
+
+def xx_hash(seed: int, keys: Sequence[str]) -> Column:
+    return F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+
+
+def md5_hash(seed: int, keys: Sequence[str]) -> Column:
+    """Sixty bits that other engines compute too; slower than :func:`xx_hash`."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+@lru_cache(maxsize=256)
 def word_filter_shape(expected: int, fpp: float) -> tuple[int, int]:
     """Words and bits per key of a bloom filter made of 64-bit words.
 
@@ -46,21 +65,21 @@ def word_filter_shape(expected: int, fpp: float) -> tuple[int, int]:
             mean += weight * (1 - (1 - 1 / WORD_BITS) ** (k * keys)) ** k
         return mean
 
-    for bits_per_key in range(4, 65):
+    for bits_per_key in _BITS_PER_KEY:
         rate, k = min((error(bits_per_key, k), k) for k in range(1, 9))
         if rate <= 0.8 * fpp:
             return max(1, math.ceil(max(1, expected) * bits_per_key / WORD_BITS)), k
     raise ValueError(f"fpp {fpp} is too small for a word filter")
 
 
-def word_number(keys: Sequence[str], words: int) -> Column:
+def word_number(keys: Sequence[str], words: int, hash_of: KeyHash = xx_hash) -> Column:
     """The word a key belongs to."""
-    return F.pmod(F.xxhash64(F.lit(_WORD_SEED), *[F.col(k) for k in keys]), F.lit(words).cast("long"))
+    return F.pmod(hash_of(_WORD_SEED, keys), F.lit(words).cast("long"))
 
 
-def word_mask(keys: Sequence[str], k: int) -> Column:
+def word_mask(keys: Sequence[str], k: int, hash_of: KeyHash = xx_hash) -> Column:
     """The bits a key sets in its word."""
-    h = F.xxhash64(F.lit(_BITS_SEED), *[F.col(c) for c in keys])
+    h = hash_of(_BITS_SEED, keys)
     mask = F.lit(0).cast("long")
     for i in range(k):
         position = F.shiftright(h, 6 * i).bitwiseAND(F.lit(WORD_BITS - 1).cast("long")).cast("int")

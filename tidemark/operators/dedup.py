@@ -91,15 +91,17 @@ def dedup_session_first(
     return staged.filter(opens).drop("_before")
 
 
-def bloom_words(seen: DataFrame, keys: Sequence[str], words: int, k: int) -> DataFrame:
+def bloom_words(
+    seen: DataFrame, keys: Sequence[str], words: int, k: int, hash_of: hashing.KeyHash = hashing.xx_hash
+) -> DataFrame:
     """A bloom filter of the keys in ``seen`` as a table of 64-bit words.
 
     ``bit_or`` combines on the map side, so duplicate and hot keys cost nothing.
     """
     return (
         seen.select(
-            hashing.word_number(keys, words).alias("word"),
-            hashing.word_mask(keys, k).alias("mask"),
+            hashing.word_number(keys, words, hash_of).alias("word"),
+            hashing.word_mask(keys, k, hash_of).alias("mask"),
         )
         .groupBy("word")
         .agg(F.bit_or("mask").alias("bits"))
@@ -112,11 +114,17 @@ def bloom_union(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def bloom_mark(
-    df: DataFrame, filter_words: DataFrame, keys: Sequence[str], words: int, k: int, column: str
+    df: DataFrame,
+    filter_words: DataFrame,
+    keys: Sequence[str],
+    words: int,
+    k: int,
+    column: str,
+    hash_of: hashing.KeyHash = hashing.xx_hash,
 ) -> DataFrame:
     """Flag the rows whose key may be in the filter; never false for one that is."""
     probed = df.withColumns(
-        {"_word": hashing.word_number(keys, words), "_mask": hashing.word_mask(keys, k)}
+        {"_word": hashing.word_number(keys, words, hash_of), "_mask": hashing.word_mask(keys, k, hash_of)}
     )
     joined = probed.join(
         filter_words.withColumnsRenamed({"word": "_word", "bits": "_bits"}), "_word", "left"
@@ -131,6 +139,7 @@ def bloom_antifilter(
     keys: Sequence[str],
     expected: int | None = None,
     fpp: float = 0.01,
+    hash_of: hashing.KeyHash = hashing.xx_hash,
 ) -> DataFrame:
     """Rows whose key is surely not in ``seen``, plus none that is.
 
@@ -139,6 +148,6 @@ def bloom_antifilter(
     """
     expected = seen.count() if expected is None else expected
     words, k = hashing.word_filter_shape(expected, fpp)
-    marked = bloom_mark(df, bloom_words(seen, keys, words, k), keys, words, k, "_seen")
+    marked = bloom_mark(df, bloom_words(seen, keys, words, k, hash_of), keys, words, k, "_seen", hash_of)
     return marked.filter(~F.col("_seen")).drop("_seen")
 

@@ -420,7 +420,7 @@ def _bloom_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 @query
 def bloom_antifilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen, candidates = _bloom_sides(spark, sf_dir)
-    return dedup.bloom_antifilter(candidates, seen, ["user_id", "num"]).drop("et")
+    return dedup.bloom_antifilter(candidates, seen, ["user_id", "num"], hash_of=hashing.md5_hash).drop("et")
 
 
 @query

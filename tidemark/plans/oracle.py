@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.functions.hashing import word_filter_shape
+
 _RATE = """
 WITH rate AS (
   SELECT event_id, user_id, ts AS et, epoch_us(ts) AS us, epoch_us(ts) // 1000 AS ts,
@@ -195,7 +197,32 @@ seen AS (SELECT DISTINCT user_id, num FROM rate WHERE et < TIMESTAMP '2024-01-16
 candidates AS (SELECT * FROM rate WHERE et >= TIMESTAMP '2024-01-16')
 """
 
+_BITS_A_KEY, _K = word_filter_shape(64, 0.01)
+
+
+def _md5_hash(seed: int) -> str:
+    return f"('0x' || substr(md5(concat_ws('|', '{seed}', user_id::VARCHAR, num::VARCHAR)), 1, 15))::BIGINT"
+
+
+_BLOOM = f"""
+, shape AS (
+  SELECT greatest(1, (greatest(1, count(*)) * {_BITS_A_KEY} + 63) // 64) AS words FROM rate WHERE et < TIMESTAMP '2024-01-16'
+), placed AS (
+  SELECT event_id, user_id, num, et, {_md5_hash(1)} % words AS word,
+         list_transform(range({_K}), lambda i: ({_md5_hash(2)} >> (6 * i)) & 63) AS positions
+  FROM rate, shape
+), filter AS (
+  SELECT DISTINCT word, unnest(positions) AS position FROM placed WHERE et < TIMESTAMP '2024-01-16'
+), asked AS (
+  SELECT event_id, user_id, num, word, unnest(positions) AS position FROM placed WHERE et >= TIMESTAMP '2024-01-16'
+)
+SELECT event_id, any_value(user_id) AS user_id, any_value(num) AS num
+FROM asked LEFT JOIN (SELECT *, true AS set FROM filter) USING (word, position)
+GROUP BY event_id HAVING count(*) FILTER (WHERE set IS NULL) > 0
+"""
+
 ORACLE: dict[str, str] = {
+    "bloom_antifilter": _with(_SEEN) + _BLOOM,
     "decode_json_rate": _with() + _DECODE_JSON,
     "decode_csv_rate": _with() + _DECODE_CSV,
     "decode_csv_order": """

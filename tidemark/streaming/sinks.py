@@ -111,8 +111,8 @@ class FanOut:
 class BloomDedup:
     """Approximate deduplication across micro-batches with bloom filters on files.
 
-    A filter that is full is sealed and the next one opened, twice as large and with half
-    the error, so that all of them together lose at most a share ``fpp`` of the new keys
+    A filter that is full is sealed and the next one opened, twice as large and with less
+    error, so that all of them together lose at most a share ``fpp`` of the new keys
     however many come.  A batch is tested against every filter, of which there are as many
     as the number of keys has doublings, and adds its keys to a filter with room for all
     of them.  Each batch writes its own partition and reads only those of earlier batches
@@ -140,7 +140,7 @@ class BloomDedup:
 
     def shape(self, part: int) -> tuple[int, int]:
         """Words and hash functions of filter ``part``; the errors of all sum up to ``fpp``."""
-        return hashing.word_filter_shape(self.capacity(part), self.fpp / 2 ** (part + 1))
+        return hashing.word_filter_shape(self.capacity(part), 0.6 * self.fpp / (part + 1) ** 2)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
