@@ -27,7 +27,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark import session
 from tidemark.llm import ship
 from tidemark.llm import text as tx
 from tidemark.llm.components import components
@@ -336,42 +335,46 @@ def classes(
 ) -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id``, the smallest id that links lead to."""
     num, den = threshold
+    scratch = ship.Scratch(docs.sparkSession)
     bands = Bands(num, den)
-    keyed = session.checkpointed(sets_of(docs, id_col, text_col, width, bands, "keys"))
+    keyed = scratch.keep(sets_of(docs, id_col, text_col, width, bands, "keys"))
     exploded = keyed.select(F.explode("keys").alias("key"), "node")
     shared = (
         exploded.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high"))
         .where("_low <> _high").select("key")
     )
-    members = session.checkpointed(exploded.join(ship.measured(shared, KEY_ROWS), "key").distinct())
+    members = scratch.keep(exploded.join(ship.measured(shared, KEY_ROWS), "key").distinct())
 
     # The sets of those nodes alone are built once more, from one document of each.
     nodes = members.select(F.col("node").alias("_node")).distinct()
     chosen = keyed.select("doc", "node").join(nodes, F.col("node") == F.col("_node")).groupBy("node").agg(F.min("doc").alias("_doc")).select("_doc")
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     read = texts.join(ship.measured(chosen), "_doc", "left_semi")
-    sets = session.checkpointed(sets_of(read, "_doc", "_text", width, bands, "sets").drop("doc"))
+    sets = scratch.keep(sets_of(read, "_doc", "_text", width, bands, "sets").drop("doc"))
 
     links = roots = None
     for _ in range(2):
-        apart = session.checkpointed(_apart(_with_roots(members, roots)))
-        pairs = session.checkpointed(_possible(_pivot_pairs(apart), sets, num, den))
-        found = session.checkpointed(_linked(pairs, sets, num, den))
+        apart = scratch.keep(_apart(_with_roots(members, roots)))
+        pairs = scratch.keep(_possible(_pivot_pairs(apart), sets, num, den))
+        found = scratch.keep(_linked(pairs, sets, num, den))
         links = found if links is None else links.unionByName(found)
-        roots = session.checkpointed(components(links))
+        roots = scratch.keep(components(links))
         members = apart.select("key", "node")
-    rest = session.checkpointed(_apart(_with_roots(members, roots)).drop("_pivot"))
-    pairs = session.checkpointed(_tiles(rest, sets, num, den))
-    found = session.checkpointed(_linked(pairs, sets, num, den))
+    rest = scratch.keep(_apart(_with_roots(members, roots)).drop("_pivot"))
+    pairs = scratch.keep(_tiles(rest, sets, num, den))
+    found = scratch.keep(_linked(pairs, sets, num, den))
     if found.limit(1).count():
-        roots = session.checkpointed(components(links.unionByName(found)))
+        roots = scratch.keep(components(links.unionByName(found)))
 
     flat = keyed.select("doc", "n", "node")
     rooted = _with_roots(flat, roots)
     # Empty documents and null ids are alone.
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc").alias("_least"))
-    return rooted.join(least.withColumnRenamed("root", "_root"), (F.col("root") == F.col("_root")) & (F.col("n") > 0), "left").select(
-        F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_least", "doc").alias("component_id")
+    named = rooted.join(least.withColumnRenamed("root", "_root"), (F.col("root") == F.col("_root")) & (F.col("n") > 0), "left")
+    return scratch.result(
+        named.select(
+            F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_least", "doc").alias("component_id")
+        )
     )
 
 

@@ -67,3 +67,27 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+class Scratch:
+    """Tables that only steps of one operator read, removed once its result is written.
+
+    They lie in one new folder of the shared one, so any executor can read them again, and
+    removing them frees the disk for the next operator.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = folder(spark, "scratch")
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """Write the result outside the folder, then remove the folder."""
+        kept = session.checkpointed(df)
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+        return kept

@@ -34,7 +34,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark import session
 from tidemark.llm import ship
 from tidemark.llm import text as tx
 
@@ -274,18 +273,20 @@ def _cut(texts: DataFrame) -> DataFrame:
     return texts.select("key", "text", "spans").mapInArrow(run, "key long, removed long, kept string, kept_sha string")
 
 
-def repeated_spans(one: DataFrame, docs: DataFrame, text_col: str, span: int) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(
+    one: DataFrame, docs: DataFrame, text_col: str, span: int, scratch: ship.Scratch
+) -> tuple[DataFrame, DataFrame]:
     """The candidate texts by key, and the spans (key, start, stop) to remove from them."""
     anchors = one.select("key", F.explode("anchors").alias("anchor"))
     twice = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    candidates = session.checkpointed(
+    candidates = scratch.keep(
         anchors.join(ship.measured(twice), "anchor").groupBy("key").agg(F.collect_list("anchor").alias("anchors"))
     )
-    texts = session.checkpointed(
+    texts = scratch.keep(
         _keyed_texts(docs, text_col).join(ship.measured(candidates.select("key")), "key", "left_semi").dropDuplicates(["key"])
     )
-    windows = session.checkpointed(_windows(texts.join(candidates, "key"), span))
-    first = session.checkpointed(
+    windows = scratch.keep(_windows(texts.join(candidates, "key"), span))
+    first = scratch.keep(
         windows.groupBy("hash")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("place"))
         .where("n > 1")
@@ -299,7 +300,7 @@ def repeated_spans(one: DataFrame, docs: DataFrame, text_col: str, span: int) ->
         windows.join(first.select("hash", shard.alias("shard")), "hash")
         .groupBy("key", "shard").agg(sorted_places).withColumn("kind", F.lit(1))
     )
-    passages = session.checkpointed(_passages(reference.unionByName(asked).join(texts, "key"), span))
+    passages = scratch.keep(_passages(reference.unionByName(asked).join(texts, "key"), span))
     blocks = passages.where("kind = 1").groupBy("shard").agg(
         F.ceil(F.sum("n") / F.lit(BLOCK_WORDS)).cast("long").alias("blocks")
     )
@@ -322,16 +323,17 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
     by one blank, and ``kept``, these words, or null where nothing is removed."""
     if span < ANCHOR_WORDS:
         raise ValueError(f"span must be at least {ANCHOR_WORDS} words")
-    base = session.checkpointed(_base(docs, id_col, text_col, span))
-    one = session.checkpointed(
+    scratch = ship.Scratch(docs.sparkSession)
+    base = scratch.keep(_base(docs, id_col, text_col, span))
+    one = scratch.keep(
         base.where(F.col("n_words") >= span).groupBy("key").agg(F.first("anchors").alias("anchors"), F.count(F.lit(1)).alias("copies"))
     )
-    texts, spans = repeated_spans(one, docs, text_col, span)
+    texts, spans = repeated_spans(one, docs, text_col, span, scratch)
     by_text = spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    cut = session.checkpointed(_cut(texts.join(by_text, "key")))
+    cut = scratch.keep(_cut(texts.join(by_text, "key")))
     copied = one.where("copies > 1").select("key", F.lit(True).alias("_copied"))
     whole = F.col("_copied").isNotNull()
-    return (
+    return scratch.result(
         base.drop("anchors")
         .join(copied, "key", "left")
         .join(cut, "key", "left")
