@@ -31,8 +31,8 @@ from tidemark.llm import ship
 from tidemark.llm import text as tx
 from tidemark.llm.components import components
 
-#: Least number of n-grams for which a bitmap has one 64-bit word: bits are four times the n-grams.
-GRAMS_PER_WORD = 16
+#: N-grams for each 64-bit word of a bitmap: sixteen bits or more for an n-gram, so that few collide.
+GRAMS_PER_WORD = 4
 TILE_ROWS = 2_048
 #: Most shared keys (eight bytes each) that are broadcast to find their members.
 KEY_ROWS = 4_000_000
