@@ -59,7 +59,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = _remainder() == 1
-    rows = ngrams.score(docs, ngrams.train(docs, learn=~held_out))
+    rows = ngrams.score(docs, ngrams.train(docs, learn=~held_out, least_pair=ngrams.LEAST_PAIR))
     return rows.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
