@@ -381,8 +381,20 @@ def classes(
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, threshold: tuple[int, int] = (9, 10)
 ) -> DataFrame:
-    """``docs`` with the smallest id of each class alone; documents without words all stay."""
-    name = ship.free_name(docs, "_dropped")
-    found = classes(docs, id_col, text_col, width, threshold).where(F.col(id_col) != F.col("component_id"))
-    dropped = ship.measured(found.select(F.col(id_col).alias(name)).distinct())
-    return docs.join(dropped, F.col(id_col) == F.col(name), "left_anti")
+    """``docs`` with one row of each class alone; documents without words all stay.
+
+    The row has the smallest id, null ids behind all others; of several texts with this id
+    that of the smallest hash stays, and of rows equal in id and text any one.
+    """
+    row, name = ship.free_name(docs, "_row"), ship.free_name(docs, "_same")
+    key = F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text"))
+    numbered = docs.select(key.alias(row), F.col(text_col).alias("_text"))
+    found = classes(numbered, row, "_text", width, threshold).where("n_shingles > 0")
+    dropped = ship.measured(found.where(F.col(row) != F.col("component_id")).select(F.col(row).alias(name)).distinct())
+    left = docs.join(dropped, key == F.col(name), "left_anti")
+    chosen = found.where(F.col(row) == F.col("component_id"))
+    again = ship.measured(chosen.groupBy(F.col(row).alias(name)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(name))
+    if not again.limit(1).count():
+        return left
+    once = left.join(again, key == F.col(name), "left_semi").dropDuplicates([id_col, text_col])
+    return left.join(again, key == F.col(name), "left_anti").unionByName(once)

@@ -350,12 +350,14 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
     """``docs`` with the repeated passages cut out of their texts; other columns stay as they are.
 
-    Rows are matched by their id, which has to be that of one text; a null id stays whole.
+    Rows are matched by their id and their text, so ids can be null or those of several texts.
     """
-    changed, kept = ship.free_name(docs, "_changed"), ship.free_name(docs, "_kept")
-    cut = removals(docs, id_col, text_col, span).where("kept IS NOT NULL").select(
-        F.col(id_col).alias(changed), F.col("kept").alias(kept)
+    row, changed, kept = (ship.free_name(docs, c) for c in ("_row", "_changed", "_kept"))
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text"))
+    numbered = docs.select(key.alias(row), F.col(text_col).alias("_text"))
+    cut = removals(numbered, row, "_text", span).where("kept IS NOT NULL").select(
+        F.col(row).alias(changed), F.col("kept").alias(kept)
     ).dropDuplicates([changed])
-    return docs.join(cut, F.col(id_col) == F.col(changed), "left").select(
+    return docs.join(cut, key == F.col(changed), "left").select(
         *[F.coalesce(kept, text_col).alias(c) if c == text_col else F.col(c) for c in docs.columns]
     )
