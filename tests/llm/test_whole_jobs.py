@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from tidemark import session
-from tidemark.llm import jaccard, ngrams, queries, ship, substring
+from tidemark.llm import jaccard, ngrams, queries, ship, substring, warc
 
 
 def _tables(spark, folder, **tables):
@@ -72,3 +72,15 @@ def test_null_ids_alone_are_reduced_too(spark):
     assert {r.text for r in jaccard.one_of_each(docs).collect()} & {"a b c"} and jaccard.one_of_each(docs).count() == 2
     kept = substring.without_repeats(spark.createDataFrame([(None, near + " x"), (None, "y " + near)], docs.schema))
     assert sorted(r.text for r in kept.collect()) == ["x", "y"]
+
+
+def test_archives_of_repeated_page_ids(spark, tmp_path, monkeypatch):
+    """One id with two payloads, one of them another page's; a revisit listed twice; repeats over blocks."""
+    monkeypatch.setattr(warc, "BLOCK_CAPTURES", 2)
+    rows = [(1, "a.org/x", "one"), (5, "a.org/y", "one"), (5, "a.org/y", "other"), (7, "b.org", "one"), (7, "b.org", "one")]
+    rows += [(9, "c.org", f"page {i}") for i in range(7)] + [(10, "c.org", "last"), (1, "a.org/x", "one")]
+    sf_dir = _tables(spark, tmp_path, pages=(rows, "page_id long, url string, html string"))
+    got = Counter((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in queries.QUERIES["op3_warc"](spark, sf_dir).collect())
+    assert got == Counter(
+        (d, warc.payload_digest(html.encode()), *(("revisit", 1) if html == "one" and d != 1 else ("response", None))) for d, _, html in rows
+    )

@@ -10,8 +10,10 @@ Of records with equal payloads the one with the smallest id is the response and
 revisit it; payloads smaller than ``least_revisit`` bytes are always written in full.
 
 Defined results: a null html is an empty payload, a null url an empty key; equal urls are
-captures of their own, told apart by the page id, which must not be null.  A hot host or
-a hot url spreads over shards, because the order is on (key, id).
+captures of their own, told apart by the page id, which must not be null.  Rows that share
+url and id are captures of their own as well, and are all found together; each is
+judged by its own payload.  A hot host or a hot url spreads over shards, because the order
+is on (key, id).
 """
 
 from __future__ import annotations
@@ -90,8 +92,8 @@ def with_decisions(pages: DataFrame, least_revisit: int) -> DataFrame:
     narrow = session.checkpointed(own.where(F.col("_size") >= least_revisit).select("_page", "_sha", "_size"))
     first = narrow.groupBy("_sha", "_size").agg(F.min("_page").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
     again = narrow.join(ship.measured(first), ["_sha", "_size"]).where(F.col("_page") != F.col("_first"))
-    again = ship.measured(again.select("_page", F.col("_first").alias("_refers_to")))
-    return pages.join(again, "_page", "left")
+    again = ship.measured(again.select("_page", "_sha", "_size", F.col("_first").alias("_refers_to")).distinct())
+    return own.join(again, ["_page", "_sha", "_size"], "left")
 
 
 def write(
@@ -175,7 +177,7 @@ def build_index(captures: DataFrame, folder: str) -> DataFrame:
                 schema=pa.schema([("first", pa.string()), ("last", pa.string()), ("uri", pa.string()), ("at", pa.int64()), ("length", pa.int64()), ("captures", pa.int64())]),
             )
 
-    ordered = captures.select("key", "page_id", "uri", "offset", "length").repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    ordered = captures.select("key", "page_id", "uri", "offset", "length").repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id", "uri", "offset")
     return session.checkpointed(ordered.mapInArrow(run, "first string, last string, uri string, at long, length long, captures long"))
 
 
@@ -199,28 +201,38 @@ class Index:
         lines = zlib.decompress(self.file.read(at, length)).decode().split("\n")
         self.directory = [line.rsplit(_KEY_PART, 2) for line in lines]
         self.firsts = [_order(d[0]) for d in self.directory]
-        self.blocks: dict[int, dict[str, tuple[str, int, int]]] = {}
+        self.blocks: dict[int, dict[str, list[tuple[str, int, int]]]] = {}
 
-    def find(self, name: str) -> tuple[str, int, int] | None:
-        """File, offset and length of the capture, by binary search and one block."""
-        k = bisect_right(self.firsts, _order(name)) - 1
-        if k < 0:
-            return None
+    def _block(self, k: int) -> dict[str, list[tuple[str, int, int]]]:
         if k not in self.blocks:
             if len(self.blocks) >= CACHED_BLOCKS:
                 del self.blocks[next(iter(self.blocks))]
             _, at, length = self.directory[k]
             lines = zlib.decompress(self.file.read(int(at), int(length))).decode().split("\n")
-            captures = (line.rsplit(_KEY_PART, 3) for line in lines)
-            self.blocks[k] = {own: (uri, int(o), int(n)) for own, uri, o, n in captures}
-        return self.blocks[k].get(name)
+            block: dict[str, list[tuple[str, int, int]]] = {}
+            for own, uri, o, n in (line.rsplit(_KEY_PART, 3) for line in lines):
+                block.setdefault(own, []).append((uri, int(o), int(n)))
+            self.blocks[k] = block
+        return self.blocks[k]
+
+    def find(self, name: str) -> Iterator[tuple[str, int, int]]:
+        """File, offset and length of the captures, by binary search and the blocks that have them."""
+        order = _order(name)
+        k = bisect_right(self.firsts, order) - 1
+        while k >= 0:
+            yield from self._block(k).get(name, [])
+            # A block that starts with the name may continue the one before it.
+            if self.firsts[k] != order:
+                return
+            k -= 1
 
 
 def lookup(spark: SparkSession, index: DataFrame, asked: DataFrame, url_col: str = "url", id_col: str = "page_id") -> DataFrame:
     """The records of the asked (url, id) pairs, read back from the archives.
 
     ``page_id``, ``payload_bytes``, ``payload_digest``, ``record_type``, ``refers_to``; a pair
-    that is not in the index gives no row.  Payloads of responses are checked against their
+    gives all its captures, once however often it is asked, and no row if it is not in the
+    index.  Payloads of responses are checked against their
     digest.  The shard list has one row per index partition and goes to the tasks as a
     broadcast; questions are sorted like the index, so that neighbours share blocks.
     """
@@ -237,30 +249,31 @@ def lookup(spark: SparkSession, index: DataFrame, asked: DataFrame, url_col: str
         firsts = [_order(s[0]) for s in listed]
         open_index: tuple[int, Index] | None = None
         archives: dict[str, store.Ranges] = {}
+        before = None
         for batch in batches:
             out: list[tuple] = []
             for key, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 name = f"{_line(key)}{_KEY_PART}{page}"
+                if name == before:  # equal questions are neighbours
+                    continue
+                before = name
                 k = bisect_right(firsts, _order(name)) - 1
                 if k < 0:
                     continue
                 if open_index is None or open_index[0] != k:
                     open_index = (k, Index(*listed[k][2:]))
-                place = open_index[1].find(name)
-                if place is None:
-                    continue
-                uri, offset, length = place
-                if uri not in archives:
-                    if len(archives) >= 64:
-                        archives.pop(next(iter(archives))).close()
-                    archives[uri] = store.Ranges(uri)
-                headers, block = parse(archives[uri].read(offset, length))
-                digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                kind = headers["WARC-Type"]
-                if kind == "response" and payload_digest(block) != digest:
-                    raise ValueError(f"page {page}: the payload does not have its digest")
-                refers = headers.get("WARC-Refers-To")
-                out.append((page, int(headers["X-Payload-Length"]), digest, kind, int(refers[len("<urn:page:") : -1]) if refers else None))
+                for uri, offset, length in open_index[1].find(name):
+                    if uri not in archives:
+                        if len(archives) >= 64:
+                            archives.pop(next(iter(archives))).close()
+                        archives[uri] = store.Ranges(uri)
+                    headers, block = parse(archives[uri].read(offset, length))
+                    digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
+                    kind = headers["WARC-Type"]
+                    if kind == "response" and payload_digest(block) != digest:
+                        raise ValueError(f"page {page}: the payload does not have its digest")
+                    refers = headers.get("WARC-Refers-To")
+                    out.append((page, int(headers["X-Payload-Length"]), digest, kind, int(refers[len("<urn:page:") : -1]) if refers else None))
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
