@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, ngrams, quality, repair, substring, token_counts, toxicity, warc
+from tidemark.llm import bpe, decontaminate, jaccard, ngrams, quality, repair, ship, substring, token_counts, toxicity, warc
 from tidemark.llm import text as tx
 from tidemark.llm.pieces import Pieces
 
@@ -294,7 +294,10 @@ def _toxic_corpus(n, seed):
 
 
 def test_toxicity_on_held_out_texts_and_misspellings():
-    model = toxicity.train(*_toxic_corpus(600, 1), share=0.3)
+    texts, labels = _toxic_corpus(600, 1)
+    counted = [f for _, _, t in tx.texts(pa.array(texts), lower=True) for f in toxicity.features(t)]
+    border = np.cumsum([0, *(len(b) for b, _ in counted)])
+    model = toxicity.train(*(np.concatenate(c) for c in zip(*counted)), border, np.array(labels, bool), share=0.3)
 
     def scores(texts):
         return np.concatenate([model.scores(t) for _, _, t in tx.texts(pa.array(texts), lower=True)])
@@ -317,3 +320,23 @@ def test_toxicity_of_odd_rows(spark, odd, none, odd_rows):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in rows if r.score < 0.5}
     silent = toxicity.fit(odd, labels.limit(0))
     assert max(r.score for r in toxicity.score(odd, silent).collect()) < 0.5
+
+
+def test_toxicity_sample_is_bounded_by_rows_not_by_texts(spark, monkeypatch):
+    """A thousand rows of one id, labels given twice, few toxic labels, and one very long text."""
+    ship.prepare(spark)
+    rng = np.random.default_rng(5)
+    prose = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 400, n))
+    rows = [(0, "much of one id")] * 1000 + [(i, prose(60) + (" vile scum" if i < 5 else "")) for i in range(1, 60)]
+    rows.append((60, " ".join(f"x{i}" for i in range(200_000))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = [(i, int(0 < i < 5)) for i in range(61)]
+    labelled = spark.createDataFrame(labels * 2, "doc_id long, toxic int")
+    buckets, weights, border, toxic, share = toxicity.sample(docs, labelled, F.lit(True), "doc_id", "text", "toxic")
+    assert len(toxic) == 61 and toxic.sum() == 4 and share == 4 / 61
+    assert np.diff(border).max() == toxicity.FEATURES and len(buckets) == len(weights) == border[-1]
+    model = toxicity.train(buckets, weights, border, toxic, 0.5)
+    said = [next(tx.texts(pa.array([t]), lower=True))[2] for t in (prose(60) + " vile scum", prose(60))]
+    assert model.logits(said[0])[0] > model.logits(said[1])[0] + 0.1
+    monkeypatch.setattr(toxicity, "SAMPLE_NEGATIVE", 10)
+    assert len(toxicity.sample(docs, labelled, F.lit(True), "doc_id", "text", "toxic")[3]) == 14

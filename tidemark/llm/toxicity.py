@@ -4,13 +4,17 @@ A word is the bag of its hashed character n-grams and of itself, so an unseen sp
 shares most of its vectors with the spellings the model knows.  The vectors are averaged
 over a word, the words over the document, and a linear softmax reads the average; the
 vectors and the softmax are trained together, in numpy, on a bounded sample of labelled
-documents.  Scoring is linear in the words, so it needs one number per bucket, and whole
+documents.  The buckets of the sample are counted by the tasks, over whole texts; the driver
+gets numbers alone, at most ``SAMPLE_POSITIVE + SAMPLE_NEGATIVE`` rows of ``FEATURES``
+buckets.  Scoring is linear in the words, so it needs one number per bucket, and whole
 texts of any length are scored where they lie.
 
 Defined results: words are A-Z lower-cased; null and empty texts get the score of an average
-of no words, which is the bias alone; a null label is no label, an id labelled twice counts
-for each label; without positive or negative labels the score is the known share (0 when
-there are no labels at all).
+of no words, which is the bias alone; a null label is no label, the same label given twice
+counts once, an id with both labels counts for each; of several texts of one id the one of
+the smallest hash is learnt from, all are scored; without positive or negative labels the
+score is the known share (0 when there are no labels at all).  Extra columns stay outside,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -20,22 +24,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import ship
 from tidemark.llm import text as tx
 
 #: Most labelled documents of each class that are learnt from.
 SAMPLE_POSITIVE = 2_000
 SAMPLE_NEGATIVE = 4_000
-#: Bytes of texts in the sample; the documents beyond it, in hash order, are left out.
-SAMPLE_BYTES = 48 << 20
+#: Most buckets of a sampled document that are learnt from, the heaviest ones of its whole text.
+FEATURES = 8_192
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 GRAMS = (3, 4, 5)
-#: Buckets that fewer documents of the sample have are not learnt; they pull nowhere.
-LEAST_DOCUMENTS = 8
+#: A bucket in n documents of the sample counts n / (n + SHRINK), so that rare ones pull little.
+SHRINK = 8.0
 EPOCHS = 6
 BATCH = 64
 RATE = 0.02
@@ -119,46 +122,48 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(self.logits(t), -60, 60)))
 
 
-def _matrix(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets and weights of each document, and where each document starts."""
-    buckets, weights, counts = [], [], []
-    for _, _, t in tx.texts(pa.array(texts, pa.string()), lower=True):
-        flat, lengths, back = subwords(t)
-        first = np.cumsum(lengths) - lengths
-        per_doc = t.words_per_doc()
-        for d in range(t.docs):
-            words, times = np.unique(back[t.first[d] : t.first[d + 1]], return_counts=True)
-            n = lengths[words]
-            place = np.repeat(first[words] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            share = np.repeat(SCALE * times / (n * (per_doc[d] + PRIOR_WORDS)), n)
-            own, back_own = np.unique(flat[place], return_inverse=True)
-            buckets.append(own.astype(np.int32))
-            weights.append(np.bincount(back_own, share, len(own)).astype(np.float32))
-            counts.append(len(own))
-    if not counts:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(1, np.int64)
-    return np.concatenate(buckets), np.concatenate(weights), np.concatenate([[0], np.cumsum(counts)])
-
-
-def train(texts: list[str], toxic: np.ndarray, share: float, epochs: int = EPOCHS, seed: int = 7) -> Model:
+def features(t: tx.Text) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The buckets of each document and their weights, at most ``FEATURES`` of them."""
+    flat, lengths, back = subwords(t)
+    first = np.cumsum(lengths) - lengths
+    per_doc = t.words_per_doc()
+    for d in range(t.docs):
+        words, times = np.unique(back[t.first[d] : t.first[d + 1]], return_counts=True)
+        n = lengths[words]
+        place = np.repeat(first[words] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        share = np.repeat(SCALE * times / (n * (per_doc[d] + PRIOR_WORDS)), n)
+        own, back_own = np.unique(flat[place], return_inverse=True)
+        weight = np.bincount(back_own, share, len(own)).astype(np.float32)
+        if len(own) > FEATURES:
+            heavy = np.sort(np.lexsort((own, -weight))[:FEATURES])
+            own, weight = own[heavy], weight[heavy]
+        yield own.astype(np.int32), weight
+
+
+def train(
+    buckets: np.ndarray, weights: np.ndarray, border: np.ndarray, toxic: np.ndarray, share: float,
+    epochs: int = EPOCHS, seed: int = 7,
+) -> Model:
     """Vectors and softmax together, by Adam on small batches.
 
+    Document ``i`` has the buckets and weights from ``border[i]`` to ``border[i + 1]``.
     ``share`` is the share of positive labels outside the sample; classes are weighted to it.
     """
-    n = len(texts)
+    n = len(toxic)
     positive = int(toxic.sum())
     if not positive or positive == n:
         edge = 0.0 if not positive else 1.0
         return Model(np.zeros(BUCKETS), np.log((edge + 1e-6) / (1 - edge + 1e-6)))
     share = min(max(share, 1e-3), 1 - 1e-3)
-    buckets, weights, border = _matrix(texts)
-    common = np.bincount(buckets, minlength=BUCKETS) >= LEAST_DOCUMENTS
-    seen = common[buckets]
-    border = np.concatenate([[0], np.cumsum(seen)])[border]
-    names = np.flatnonzero(common)
+    held_by = np.bincount(buckets, minlength=BUCKETS)
+    trust = (held_by / (held_by + SHRINK)).astype(np.float32)
+    names = np.flatnonzero(held_by)
     column = np.zeros(BUCKETS, np.int64)
     column[names] = np.arange(len(names))
-    buckets, weights = column[buckets[seen]], weights[seen]
+    weights = weights * trust[buckets]
+    buckets = column[buckets].astype(np.int32)
+    flagged = np.zeros(len(names), bool)
+    number = np.zeros(len(names), np.int64)
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (len(names), DIMENSIONS)).astype(np.float32)
     soft = rng.normal(0, 0.1, (DIMENSIONS, 2)).astype(np.float32)
@@ -175,11 +180,11 @@ def train(texts: list[str], toxic: np.ndarray, share: float, epochs: int = EPOCH
             size = border[docs + 1] - border[docs]
             place = np.repeat(border[docs] - (np.cumsum(size) - size), size) + np.arange(size.sum())
             owner = np.repeat(np.arange(len(docs)), size)
-            used = np.zeros(len(names), bool)
-            used[buckets[place]] = True
-            used = np.flatnonzero(used)
-            column[used] = np.arange(len(used))
-            local, weight = column[buckets[place]], weights[place]
+            flagged[:] = False
+            flagged[buckets[place]] = True
+            used = np.flatnonzero(flagged)
+            number[used] = np.arange(len(used))
+            local, weight = number[buckets[place]], weights[place]
             own = vectors[used]
             hidden = _by_owner(own[local] * weight[:, None], owner, len(docs))
             out = hidden @ soft + bias
@@ -201,7 +206,7 @@ def train(texts: list[str], toxic: np.ndarray, share: float, epochs: int = EPOCH
             own *= 1 - rate * DECAY
             vectors[used] = own
     pull = np.zeros(BUCKETS)
-    pull[names] = vectors @ (soft[:, 1] - soft[:, 0])
+    pull[names] = trust[names] * (vectors @ (soft[:, 1] - soft[:, 0]))
     return Model(pull, float(bias[1] - bias[0]))
 
 
@@ -210,28 +215,47 @@ def _by_owner(rows: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
     return np.stack([np.bincount(owner, rows[:, k], owners) for k in range(rows.shape[1])], axis=1).astype(np.float32)
 
 
-def sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str, label_col: str):
-    """Bounded labelled texts and the share of positives among all labels to learn from."""
-    known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where(
-        F.col("_id").isNotNull() & F.col("_y").isin(0, 1)
-    ).withColumnRenamed("_id", id_col).where(learn).withColumnRenamed(id_col, "_id")
+def sample(
+    docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str, label_col: str
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
+    """What :func:`train` learns from: at most ``SAMPLE_*`` documents of each class, in hash order."""
+    known = (
+        labels.select(F.col(id_col), F.col(label_col).cast("int")).toDF(id_col, "_label")
+        .where(F.col(id_col).isNotNull() & F.col("_label").isin(0, 1))
+        .where(learn)
+        .select(F.col(id_col).alias("_id"), F.col("_label").alias("_y")).distinct()
+    )
     counts = {r._y: r["count"] for r in known.groupBy("_y").count().collect()}
-    limits = {0: SAMPLE_NEGATIVE, 1: SAMPLE_POSITIVE}
     chosen = None
-    for y, most in limits.items():
-        # Candidates in a fixed hash order; the number collected is bounded by the limits.
+    for y, most in {0: SAMPLE_NEGATIVE, 1: SAMPLE_POSITIVE}.items():
         part = known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
-    chosen = ship.measured(chosen)
-    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(chosen, "_id")
-    # A running size per class in hash order bounds the bytes; at most limits rows enter the window.
-    rows = texts.withColumn("_n", F.octet_length("_text")).select("_id", "_y", "_n", "_text")
-    kept = ship.measured(rows, 0)
-    order = Window.orderBy(F.xxhash64("_id"), "_id", "_y").rowsBetween(Window.unboundedPreceding, 0)
-    small = kept.select("_id", "_y", F.sum("_n").over(order).alias("_sum")).where(F.col("_sum") <= SAMPLE_BYTES).drop("_sum")
-    got = kept.join(small, ["_id", "_y"]).orderBy(F.xxhash64("_id"), "_id", "_y").select("_text", "_y").collect()
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    # The chosen ids are at most the two limits together.
+    read = texts.join(F.broadcast(chosen), "_id").select("_text", "_id", "_y", F.xxhash64("_text").alias("_hash"))
+    id_type = read.schema["_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, stop, t in tx.texts(batch.column(0), lower=True):
+                own = list(features(t))
+                columns = [batch.column(i).slice(row, stop - row) for i in (1, 2, 3)]
+                for k in (0, 1):
+                    columns.append(pa.array([f[k].tobytes() for f in own], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["_id", "_y", "_hash", "buckets", "weights"])
+
+    counted = read.mapInArrow(run, f"_id {id_type}, _y int, _hash long, buckets binary, weights binary")
+    one = F.min(F.struct("_hash", "buckets", "weights")).alias("one")
+    rows = (
+        counted.groupBy("_id", "_y").agg(one)
+        .select(F.xxhash64("_id").alias("at"), F.col("_id"), F.col("_y"), "one.buckets", "one.weights").collect()
+    )
+    rows.sort(key=lambda r: (r["at"], r["_id"], r["_y"]))
+    border = np.concatenate([[0], np.cumsum([len(r["buckets"]) // 4 for r in rows], dtype=np.int64)]).astype(np.int64)
+    buckets = np.frombuffer(b"".join(r["buckets"] for r in rows), np.int32)
+    weights = np.frombuffer(b"".join(r["weights"] for r in rows), np.float32)
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    return [r._text for r in got], np.array([r._y == 1 for r in got], bool), share
+    return buckets, weights, border, np.array([r["_y"] == 1 for r in rows], bool), share
 
 
 def fit(
@@ -239,8 +263,7 @@ def fit(
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
 ) -> Model:
     """A model of the labelled documents for which ``learn`` (over ``id_col``) holds."""
-    texts, toxic, share = sample(docs, labels, F.lit(True) if learn is None else learn, id_col, text_col, label_col)
-    return train(texts, toxic, share)
+    return train(*sample(docs, labels, F.lit(True) if learn is None else learn, id_col, text_col, label_col))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
