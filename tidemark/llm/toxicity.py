@@ -158,10 +158,10 @@ def train(
     held_by = np.bincount(buckets, minlength=BUCKETS)
     trust = (held_by / (held_by + SHRINK)).astype(np.float32)
     names = np.flatnonzero(held_by)
-    column = np.zeros(BUCKETS, np.int64)
+    column = np.zeros(BUCKETS, np.int32)
     column[names] = np.arange(len(names))
     weights = weights * trust[buckets]
-    buckets = column[buckets].astype(np.int32)
+    buckets = column[buckets]
     flagged = np.zeros(len(names), bool)
     number = np.zeros(len(names), np.int64)
     rng = np.random.default_rng(seed)
@@ -254,8 +254,9 @@ def sample(
     border = np.concatenate([[0], np.cumsum([len(r["buckets"]) // 4 for r in rows], dtype=np.int64)]).astype(np.int64)
     buckets = np.frombuffer(b"".join(r["buckets"] for r in rows), np.int32)
     weights = np.frombuffer(b"".join(r["weights"] for r in rows), np.float32)
+    toxic = np.array([r["_y"] == 1 for r in rows], bool)
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    return buckets, weights, border, np.array([r["_y"] == 1 for r in rows], bool), share
+    return buckets, weights, border, toxic, share
 
 
 def fit(
