@@ -61,4 +61,46 @@ FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id, n HAVING 5 * count(*) >= 4 * n
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": OP1, "op10_decontaminate": OP10}
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {WORDS} AS w FROM documents
+), l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (CASE WHEN len(w) < 50 THEN 1 ELSE 0 END)
+       + (CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END)
+       + (CASE WHEN 100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 5 * length(text) THEN 4 ELSE 0 END)
+       + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+       + (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END) AS failed
+  FROM d LEFT JOIN l USING (doc_id)
+), cells AS (
+  SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, failed
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(f, b)
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.b + b.b + c.b + d.b + e.b = 31 AND (a.b | b.b | c.b | d.b | e.b) = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS own, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), r AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN failed & (own | before) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN failed & own <> 0 AND failed & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN failed & own <> 0 AND failed & before <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN failed = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN failed & own <> 0 AND failed & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN failed & own <> 0 AND failed & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": OP1, "op10_decontaminate": OP10, "op12_filter_audit": OP12}

@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard, ngrams, quality, repair, ship, substring, token_counts, toxicity, warc
+from tidemark.llm import (
+    alignment,
+    audit,
+    bpe,
+    decontaminate,
+    jaccard,
+    ngrams,
+    quality,
+    repair,
+    ship,
+    substring,
+    token_counts,
+    toxicity,
+    warc,
+    winnowing,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +104,28 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = winnowing.compare_edited(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        winnowing.as_text(F.col("chosen")).alias("fingerprint"),
+        winnowing.as_text(F.col("edited_chosen")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
@@ -100,4 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_decontaminate": op10_decontaminate,
+    "op11_winnowing": op11_winnowing,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_token_alignment": op13_token_alignment,
 }
