@@ -1,14 +1,17 @@
 """Near-duplicate documents by the Jaccard similarity of word n-grams, exactly.
 
-1. A document becomes the set of its n-gram hashes.  Equal sets collapse to one node.
+1. A document becomes the set of its n-gram hashes.  Equal sets collapse to one node, and one document
+   stands for it from then on.
 2. Sets of similar size share a *size band*.  In a band, linked sets differ in at most *k*
    n-grams, so of ``k + m + 1`` hash parts of the n-gram space at least ``m + 1`` hold the same
    n-grams in both.  Sets that share such parts meet under one key; no linked pair is missed,
    and unlike sets hardly ever meet.
 3. Key groups are searched without listing their pairs: first each member against one pivot
-   (copies join here), then what is still apart in bounded tiles of like sizes, block
-   against block.  The bit counts of hashed bitmaps bound an overlap from above, and only
-   pairs that can still reach the threshold get the exact intersection of their sorted arrays.
+   (copies join here).  Groups that still hold several components are merged where they share
+   one, so that a node is searched once whatever its number of keys, in bounded tiles of
+   like sizes, block against block.  The bit counts of hashed bitmaps bound an overlap from
+   above, and only pairs that can still reach the threshold get the exact intersection of their
+   sorted arrays.  A tile returns a spanning forest: at most as many links as it has rows.
 4. Links are contracted to components.
 
 Defined results: words are A-Z lower-cased; a document with fewer words than ``width`` is its
@@ -33,9 +36,12 @@ from tidemark.llm.components import components
 
 #: N-grams for each 64-bit word of a bitmap: sixteen bits or more for an n-gram, so that few collide.
 GRAMS_PER_WORD = 4
+#: Most rows and n-grams of a block; a tile has one or two blocks.
 TILE_ROWS = 2_048
+TILE_GRAMS = 1 << 21
 #: Most shared keys (eight bytes each) that are broadcast to find their members.
 KEY_ROWS = 4_000_000
+_KEY_BITS = (1 << 48) - 1
 _BAND_RATIO = 1.5
 #: Up to so many differing n-grams, keys are made of two parts instead of one.
 _PAIRED_UP_TO = 14
@@ -252,23 +258,43 @@ def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return _sides(pairs, sets, ("grams",)).mapInArrow(run, "a long, b long")
 
 
-def _tile_pairs(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """Pairs of a tile that are apart so far and that their sizes and bitmaps allow to link."""
+class _Forest:
+    """Union-find over the rows of a tile; rows of one root are joined from the start."""
+
+    def __init__(self, roots: np.ndarray):
+        self.of = np.unique(roots, return_inverse=True)[1]
+
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        return others[self.of[others] != self.of[i]]
+
+    def join(self, i: int, j: int) -> bool:
+        """Whether the two were apart."""
+        own, other = self.of[i], self.of[j]
+        if own == other:
+            return False
+        self.of[self.of == other] = own
+        return True
+
+
+def _tile_links(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """Links of a tile that join what is apart so far: a spanning forest of them."""
     rows = rows.sort_values(["n", "node"], ignore_index=True)
-    sizes, roots, nodes = rows["n"].to_numpy(), rows["root"].to_numpy(), rows["node"].to_numpy()
+    sizes, nodes = rows["n"].to_numpy(), rows["node"].to_numpy()
+    forest = _Forest(rows["root"].to_numpy())
     # Sets of like sizes have like widths; the narrowest of the tile is used for all.
     width = int(bitmap_words(sizes).min(initial=1 << 40))
     bits = np.stack([folded(np.asarray(x, np.int64).view(np.uint64), width) for x in rows["bits"]])
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    grams = [np.asarray(x, np.int64).view(np.uint64) for x in rows["grams"]]
+    links = []
     for i in range(len(rows)):
         stop = int(np.searchsorted(sizes, sizes[i] * den // num, "right"))
-        others = np.arange(i + 1, stop)
-        others = others[roots[others] != roots[i]]
+        others = forest.apart(i, np.arange(i + 1, stop))
         others = others[_can_reach(bits[i], bits[others], sizes[i], sizes[others], num, den)]
-        a.append(np.full(len(others), nodes[i]))
-        b.append(nodes[others])
-    low, high = np.concatenate(a), np.concatenate(b)
-    return pd.DataFrame({"a": np.minimum(low, high), "b": np.maximum(low, high)}).drop_duplicates()
+        for j in others.tolist():
+            if forest.of[i] != forest.of[j] and reaches(_overlap(grams[i], grams[j]), sizes[i], sizes[j], num, den):
+                forest.join(i, j)
+                links.append((nodes[i], nodes[j]))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def _with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -297,33 +323,41 @@ def _pivot_pairs(apart: DataFrame) -> DataFrame:
     )
 
 
-def _tiles(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Possible pairs across components inside key groups, block against block of like sizes."""
-    # Groups of the same members are searched once.
-    told = members.groupBy("key").agg(
-        F.count(F.lit(1)).alias("_m"),
-        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_who"),
+def _fields(members: DataFrame, keep) -> DataFrame:
+    """``node``, ``root`` and ``field`` of what is apart: groups that share a component are one field."""
+    lowest = members.groupBy("key").agg(F.min("root").alias("_low")).withColumnRenamed("key", "_key")
+    edges = members.join(lowest, F.col("key") == F.col("_key")).where("root <> _low").select(
+        F.col("_low").alias("a"), F.col("root").alias("b")
+    ).distinct()
+    fields = components(edges, keep=keep).select(F.col("node").alias("_n"), F.col("root").alias("field"))
+    return members.select("node", "root").distinct().join(fields, F.col("root") == F.col("_n")).drop("_n")
+
+
+def _tiles(fields: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links across components inside fields, block against block of like sizes."""
+    sized = fields.join(sets.select("node", "n"), "node")
+    told = sized.groupBy("field").agg(F.count(F.lit(1)).alias("_m"), F.sum("n").alias("_g")).select(
+        F.col("field").alias("_field"),
+        F.greatest(F.ceil(F.col("_m") / F.lit(TILE_ROWS)), F.ceil(F.col("_g") / F.lit(TILE_GRAMS))).cast("long").alias("blocks"),
     )
-    once = told.groupBy("_m", "_who").agg(F.min("key").alias("_key")).select("_key", "_m")
-    small = members.join(once, F.col("key") == F.col("_key")).select("key", "node", "root", F.col("_m").alias("m"))
-    # A block of a large group is a hash share of one size class; classes are narrower than the threshold.
-    blocks = F.ceil(F.col("m") / F.lit(TILE_ROWS)).cast("long")
-    sized = small.join(sets.select("node", "n"), "node").withColumns(
-        {"size_class": F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("long"), "share": F.pmod(F.xxhash64("node", F.lit(3)), blocks), "blocks": blocks}
+    # A block of a large field is a hash share of one size class; classes are narrower than the threshold.
+    placed = sized.join(told, F.col("field") == F.col("_field")).withColumns(
+        {"size_class": F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("long"), "share": F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks"))}
     )
     # Tile (c, s, t): shares s and t of class c, and of class c with class c + 1.
-    own = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda t: F.struct(
+    shares = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    own = F.transform(shares, lambda t: F.struct(
         F.col("size_class").alias("c"), F.lit(0).alias("up"), F.least("share", t).alias("s"), F.greatest("share", t).alias("t")))
-    upward = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda t: F.struct(
+    upward = F.transform(shares, lambda t: F.struct(
         F.col("size_class").alias("c"), F.lit(1).alias("up"), F.col("share").alias("s"), t.alias("t")))
-    downward = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda t: F.struct(
+    downward = F.transform(shares, lambda t: F.struct(
         (F.col("size_class") - 1).alias("c"), F.lit(1).alias("up"), t.alias("s"), F.col("share").alias("t")))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("c"), F.lit(0).alias("up"), F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("t")))
-    dealt = sized.withColumn("tile", F.explode(F.when(F.col("blocks") == 1, whole).otherwise(F.concat(own, upward, downward))))
-    rows = dealt.select("key", "tile.*", "node", "root").join(sets.select("node", "n", "bits"), "node")
-    return rows.groupBy("key", "c", "up", "s", "t").applyInPandas(
-        lambda group: _tile_pairs(group, num, den), "a long, b long"
-    ).distinct()
+    dealt = placed.withColumn("tile", F.explode(F.when(F.col("blocks") == 1, whole).otherwise(F.concat(own, upward, downward))))
+    rows = dealt.select("field", "tile.*", "node", "root").join(sets.select("node", "n", "bits", "grams"), "node")
+    return rows.groupBy("field", "c", "up", "s", "t").applyInPandas(
+        lambda group: _tile_links(group, num, den), "a long, b long"
+    )
 
 
 def classes(
@@ -338,18 +372,21 @@ def classes(
     scratch = ship.Scratch(docs.sparkSession)
     bands = Bands(num, den)
     keyed = scratch.keep(sets_of(docs, id_col, text_col, width, bands, "keys"))
-    exploded = keyed.select(F.explode("keys").alias("key"), "node")
-    shared = (
-        exploded.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high"))
-        .where("_low <> _high").select("key")
-    )
-    members = scratch.keep(exploded.join(ship.measured(shared, KEY_ROWS), "key").distinct())
+    # One document stands for all of its node; repeated ids may leave a few more.
+    copied = keyed.where("n > 0").groupBy("node").agg(F.min("doc").alias("_least"), F.count(F.lit(1)).alias("_c")).where("_c > 1")
+    copies = keyed.select("doc", "node").join(copied.select(F.col("node").alias("_node"), "_least"), F.col("node") == F.col("_node")).where(
+        "doc <> _least").select(F.col("doc").alias("_copy")).distinct()
+    standing = keyed.join(ship.measured(copies, keep=scratch.keep), F.col("doc") == F.col("_copy"), "left_anti")
+    exploded = standing.select(F.explode("keys").alias("key"), "node").withColumn("_low", F.col("key").bitwiseAND(_KEY_BITS))
+    # Most keys occur once: they go by their lower bits alone, which tell nearly all apart.
+    shared = exploded.groupBy("_low").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_low")
+    members = scratch.keep(exploded.join(ship.measured(shared, KEY_ROWS, scratch.keep), "_low").select("key", "node"))
 
     # The sets of those nodes alone are built once more, from one document of each.
     nodes = members.select(F.col("node").alias("_node")).distinct()
     chosen = keyed.select("doc", "node").join(nodes, F.col("node") == F.col("_node")).groupBy("node").agg(F.min("doc").alias("_doc")).select("_doc")
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    read = texts.join(ship.measured(chosen), "_doc", "left_semi")
+    read = texts.join(ship.measured(chosen, keep=scratch.keep), "_doc", "left_semi")
     sets = scratch.keep(sets_of(read, "_doc", "_text", width, bands, "sets").drop("doc"))
 
     links = roots = None
@@ -358,13 +395,13 @@ def classes(
         pairs = scratch.keep(_possible(_pivot_pairs(apart), sets, num, den))
         found = scratch.keep(_linked(pairs, sets, num, den))
         links = found if links is None else links.unionByName(found)
-        roots = scratch.keep(components(links))
+        roots = scratch.keep(components(links, keep=scratch.keep))
         members = apart.select("key", "node")
     rest = scratch.keep(_apart(_with_roots(members, roots)).drop("_pivot"))
-    pairs = scratch.keep(_tiles(rest, sets, num, den))
-    found = scratch.keep(_linked(pairs, sets, num, den))
+    fields = scratch.keep(_fields(rest, scratch.keep))
+    found = scratch.keep(_tiles(fields, sets, num, den))
     if found.limit(1).count():
-        roots = scratch.keep(components(links.unionByName(found)))
+        roots = scratch.keep(components(links.unionByName(found), keep=scratch.keep))
 
     flat = keyed.select("doc", "n", "node")
     rooted = _with_roots(flat, roots)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,12 +53,14 @@ def folder(spark: SparkSession, purpose: str) -> str:
 BROADCAST_ROWS = 500_000
 
 
-def measured(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` written once, for a join: broadcast if it has few rows, else left to a shuffle.
+def measured(
+    df: DataFrame, limit: int = BROADCAST_ROWS, keep: Callable[[DataFrame], DataFrame] = session.checkpointed
+) -> DataFrame:
+    """``df`` written once by ``keep``, for a join: broadcast if it has few rows, else left to a shuffle.
 
     For narrow tables of ids and numbers only, whose size follows from their rows.
     """
-    kept = session.checkpointed(df)
+    kept = keep(df)
     return F.broadcast(kept) if kept.count() <= limit else kept
 
 
