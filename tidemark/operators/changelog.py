@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans import ordered
@@ -32,14 +32,19 @@ def retract_count(
         },
         rows_per_task,
     )
+    return changes(counted, key, order, F.col(value).isNotNull())
+
+
+def changes(counted: DataFrame, key: str, order: Sequence[str], counts: Column) -> DataFrame:
+    """The changelog of running counts: ``_rows`` and ``_count`` up to each row, which ``counts`` or not."""
     added = F.struct(F.lit(True).alias("acc"), F.col("_count").alias("cnt_num"))
     retracted = F.struct(F.lit(False).alias("acc"), (F.col("_count") - 1).alias("cnt_num"))
-    changes = (
+    change = (
         F.when(F.col("_rows") == 1, F.array(added))
-        .when(F.col(value).isNotNull(), F.array(retracted, added))
+        .when(counts, F.array(retracted, added))
         .otherwise(F.array().cast("array<struct<acc:boolean,cnt_num:bigint>>"))
     )
-    return counted.select(key, *order, F.explode(changes).alias("_change")).select(
+    return counted.select(key, *order, F.explode(change).alias("_change")).select(
         F.col("_change.acc").alias("acc"),
         key,
         F.col("_change.cnt_num").alias("cnt_num"),

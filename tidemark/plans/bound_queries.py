@@ -18,7 +18,7 @@ from tidemark.functions import decode, encode, hashing, time
 from tidemark.operators import aggregate, changelog, dedup, joins, over, patterns, project, windows
 from tidemark.sources import tables, upsert
 from tidemark.streaming import dedup as stream_dedup
-from tidemark.streaming import sinks, stateful
+from tidemark.streaming import ordered_batches, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -661,10 +661,14 @@ def stream_dedup_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(unique.select("window_end", "offset"))
 
 
+def _ordered(spark: SparkSession, sf_dir: str, step: ordered_batches.Step) -> DataFrame:
+    return _naive(ordered_batches.drain(tables.stream_rates(spark, sf_dir), step, DELAY))
+
+
 @query
 def stream_dedup_session_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = _watermarked(spark, sf_dir)
-    return _drained(stateful.dedup_session_first(rates, ["user_id"], "6 hours", "et", ARRIVAL))
+    step = ordered_batches.SessionFirst(["user_id"], "6 hours", "et", ARRIVAL)
+    return _ordered(spark, sf_dir, step).select("user_id", "et", "event_id")
 
 
 @query
@@ -676,47 +680,52 @@ def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_retract_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = stateful.retract_count(tables.stream_rates(spark, sf_dir), "hbdm", ARRIVAL)
-    return _drained(changes, "update")
+    return _ordered(spark, sf_dir, ordered_batches.RetractCount("hbdm", ARRIVAL))
 
 
 @query
 def stream_over_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = _watermarked(spark, sf_dir)
-    return _framed(_drained(stateful.over_rows(rates, ["hbdm"], "et", ARRIVAL, "num", 10)))
+    return _framed(_ordered(spark, sf_dir, ordered_batches.RowFrame(["hbdm"], "et", ARRIVAL, "num", 10)))
 
 
 @query
 def stream_over_range_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = _watermarked(spark, sf_dir)
-    return _framed(
-        _drained(stateful.over_range_time(rates, ["hbdm"], "et", ARRIVAL, "num", "6 hours"))
-    )
+    return _framed(_ordered(spark, sf_dir, ordered_batches.TimeFrame(["hbdm"], "et", ARRIVAL, "num", "6 hours")))
 
 
 @query
 def stream_over_range_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = _watermarked(spark, sf_dir)
-    return _framed(_drained(stateful.over_range_unbounded(rates, ["hbdm"], "et", ARRIVAL, "num")))
+    return _framed(_ordered(spark, sf_dir, ordered_batches.Unbounded(["hbdm"], "et", ARRIVAL, "num")))
+
+
+def _stream_runs(df: DataFrame, *keys: str) -> DataFrame:
+    ids = F.transform("matched", lambda m: m["event_id"].cast("string"))
+    return df.select(
+        *keys, "et", "event_id", "length", F.element_at("matched", -1)["et"].alias("end_et"), F.array_join(ids, ",").alias("matched_ids")
+    )
 
 
 @query
 def stream_cep_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = _watermarked(spark, sf_dir)
-    found = stateful.times(rates, _is("purchase"), "et", ARRIVAL, 5, 6, ["user_id"])
-    return _drained(found)
+    step = ordered_batches.Repeats(_is("purchase"), ["user_id"], "et", ARRIVAL, 5, 6, ["event_id"])
+    return _stream_runs(_ordered(spark, sf_dir, step), "user_id")
+
+
+@query
+def stream_cep_times_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Un-keyed: purchases of any user."""
+    step = ordered_batches.Repeats(_is("purchase"), [], "et", ARRIVAL, 5, 6, ["event_id"])
+    return _stream_runs(_ordered(spark, sf_dir, step))
 
 
 @query
 def stream_cep_succession(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = _watermarked(spark, sf_dir)
     purchase = _is("purchase")
-    found = stateful.succession(rates, purchase, purchase, "6 hours", "et", ARRIVAL, ["user_id"])
-    return _drained(found)
+    step = ordered_batches.Succession(purchase, purchase, "6 hours", ["user_id"], "et", ARRIVAL)
+    return _ordered(spark, sf_dir, step).select("user_id", "et", "event_id", "kind", "next_et")
 
 
 @query
 def stream_retry_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = _watermarked(spark, sf_dir)
-    found = stateful.repeat_alert(rates, ["user_id"], "et", ARRIVAL, "event_id", "6 hours")
-    return _alerts(_drained(found), "user_id")
+    step = ordered_batches.RepeatAlert(["user_id"], "et", ARRIVAL, "event_id", "6 hours")
+    return _alerts(_ordered(spark, sf_dir, step), "user_id")

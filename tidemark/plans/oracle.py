@@ -106,6 +106,24 @@ def _closed(over: str) -> str:
     )
 
 
+def _stream_runs(key: str) -> str:
+    """Runs of five and six purchases that a stream has completed at its end, with their events."""
+
+    def of(length: int) -> str:
+        ids = ", ".join(f"lead(event_id, {i}) OVER w" for i in range(1, length))
+        return (
+            f"SELECT {key + ', ' if key else ''}et, event_id, {length} AS length, lead(et, {length - 1}) OVER w AS end_et, "
+            f"lead(us, {length - 1}) OVER w AS end_us, concat_ws(',', event_id, {ids}) AS matched_ids "
+            f"FROM rate WHERE hbdm = 'purchase' WINDOW w AS ({f'PARTITION BY {key} ' if key else ''}ORDER BY et, event_id)"
+        )
+
+    return (
+        _with()
+        + f"SELECT * EXCLUDE (end_us, closed_us) FROM ({of(5)} UNION ALL {of(6)}), "
+        + "(SELECT (max(us) // 1000 - 1000) * 1000 AS closed_us FROM rate WHERE hbdm = 'purchase') WHERE end_us <= closed_us"
+    )
+
+
 def _first(partition: str, columns: str, source: str = "rate") -> str:
     return f"""
 SELECT {columns} FROM (
@@ -399,25 +417,12 @@ FROM hopped, closing WHERE epoch_us(w_start) + 7200000000 <= closed_us GROUP BY
     + "SELECT DISTINCT user_id, time_bucket(INTERVAL '1 hour', et) + INTERVAL '1 hour' AS hour_end FROM rate",
     "stream_dedup_bitmap": _with(_BITMAP)
     + 'SELECT DISTINCT make_timestamp(window_end * 1000) AS window_end, "offset" FROM placed',
-    "stream_dedup_session_first": _with()
-    + _session_first("user_id", 21600000000, "user_id, et, event_id").replace(
-        "FROM rate\n)", "FROM rate\n), closing"
-    ).replace("before_us IS NULL OR", "us <= closed_us AND (before_us IS NULL OR")
-    + ")",
+    "stream_dedup_session_first": _with() + _session_first("user_id", 21600000000, "user_id, et, event_id"),
     "stream_over_rows": _closed(_OVER_ROWS),
     "stream_over_range_time": _closed(_OVER_TIME),
     "stream_over_range_unbounded": _closed(_OVER_UNBOUNDED),
-    "stream_cep_times": _with()
-    + """
-SELECT user_id, et, event_id, length, end_et FROM (
-  SELECT user_id, et, event_id, 5 AS length, lead(et, 4) OVER w AS end_et, lead(us, 4) OVER w AS end_us
-  FROM rate WHERE hbdm = 'purchase' WINDOW w AS (PARTITION BY user_id ORDER BY et, event_id)
-  UNION ALL
-  SELECT user_id, et, event_id, 6, lead(et, 5) OVER w, lead(us, 5) OVER w
-  FROM rate WHERE hbdm = 'purchase' WINDOW w AS (PARTITION BY user_id ORDER BY et, event_id)
-), (SELECT (max(us) // 1000 - 1000) * 1000 AS closed_us FROM rate WHERE hbdm = 'purchase')
-WHERE end_us <= closed_us
-""",
+    "stream_cep_times": _stream_runs("user_id"),
+    "stream_cep_times_any": _stream_runs(""),
     "stream_cep_succession": _with(_SUCCESSION)
     + """
 SELECT user_id, et, event_id, 'match' AS kind, next_et FROM next_events, closing
