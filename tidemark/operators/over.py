@@ -52,16 +52,20 @@ def over_range_unbounded(
     ``tie`` orders rows of equal time, so that even those can be split between tasks.
     """
     _require_exact(df, value)
-    chunks = ordered.chunks_needed(df, keys, rows_per_task)
-    if not chunks:
+
+    def plain(rows: DataFrame) -> DataFrame:
         frame = (
             Window.partitionBy(*keys)
             .orderBy(et)
             .rangeBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        return df.withColumn(column, F.sum(value).over(frame))
-    asked = ask_frames(df, keys, et, None, {column: F.col(value)}, tie, chunks)
-    return asked.filter(F.col(KIND) == ASKS).drop(KIND, "_us")
+        return rows.withColumn(column, F.sum(value).over(frame))
+
+    def cut(rows: DataFrame, chunks: int) -> DataFrame:
+        asked = ask_frames(rows, keys, et, None, {column: F.col(value)}, tie, chunks)
+        return asked.filter(F.col(KIND) == ASKS).drop(KIND, "_us")
+
+    return ordered.by_size(df, keys, ordered.measure(df, keys, rows_per_task), plain, cut)
 
 
 def over_range_time(
@@ -77,12 +81,14 @@ def over_range_time(
     """Sum over the time frame that ends now and reaches ``length`` back, inclusive."""
     _require_exact(df, value)
     values = {"_sum": F.col(value), "_rows": F.col(value).isNotNull().cast("long")}
-    chunks = ordered.chunks_needed(df, keys, rows_per_task)
-    if chunks:
-        asked = ask_frames(df, keys, et, length, values, tie, chunks)
-        framed = asked.filter(F.col(KIND) == ASKS).drop(KIND)
-    else:
-        framed = with_frame(df, keys, et, length, values)
+
+    def cut(rows: DataFrame, chunks: int) -> DataFrame:
+        asked = ask_frames(rows, keys, et, length, values, tie, chunks)
+        return asked.filter(F.col(KIND) == ASKS).drop(KIND)
+
+    framed = ordered.by_size(
+        df, keys, ordered.measure(df, keys, rows_per_task), lambda rows: with_frame(rows, keys, et, length, values), cut
+    )
     return framed.withColumn(column, F.when(F.col("_rows") > 0, F.col("_sum"))).drop(
         "_sum", "_rows", "_us"
     )

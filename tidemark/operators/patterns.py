@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import duration_ms, epoch_us
-from tidemark.operators.over import ARRIVES, ASKS, KIND, ask_frames, match, with_frame
+from tidemark.operators.over import ARRIVES, ASKS, KIND, LEAVES, ask_frames, match, with_frame
 from tidemark.plans import ordered
+from tidemark.session import checkpointed
 
 
 def times(
@@ -160,11 +161,15 @@ def repeat_alert(
     Adds ``cnt``, the rows in the frame, and ``first_task``, the task of its first row.
     ``order`` must start with ``et``.
     """
-    chunks = ordered.chunks_needed(df, keys, rows_per_task)
-    if chunks:
-        return _repeat_alert_in_chunks(df, keys, order, task, within, at_least, et, chunks)
-    counted = with_frame(df, keys, et, within, {"cnt": F.lit(1).cast("long")})
-    return _with_frame_start(counted, keys, order, task, within, at_least)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        counted = with_frame(rows, keys, et, within, {"cnt": F.lit(1).cast("long")})
+        return _with_frame_start(counted, keys, order, task, within, at_least)
+
+    def cut(rows: DataFrame, chunks: int) -> DataFrame:
+        return _repeat_alert_in_chunks(rows, keys, order, task, within, at_least, et, chunks)
+
+    return ordered.by_size(df, keys, ordered.measure(df, keys, rows_per_task), plain, cut)
 
 
 def _with_frame_start(
@@ -214,9 +219,10 @@ def _repeat_alert_in_chunks(
 ) -> DataFrame:
     """Number the rows of a key; the frame's first row is then found by its number."""
     one = F.lit(1).cast("long")
-    asked = ask_frames(
+    # Read twice below, so the running totals are kept.
+    asked = checkpointed(ask_frames(
         df, keys, et, within, {"cnt": one}, order, chunks, keep=[task], arrivals="_number"
-    )
+    ).filter(F.col(KIND) != LEAVES))
     alerts = (
         asked.filter((F.col(KIND) == ASKS) & (F.col("cnt") >= at_least))
         .withColumn("_number", F.col("_number") - F.col("cnt") + 1)

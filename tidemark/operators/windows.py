@@ -84,16 +84,19 @@ def session(
     orders rows of equal time.
     """
     df = df.filter(F.col(et).isNotNull())  # both plans: a row without a time has no session
-    if not df.isStreaming:
-        chunks = ordered.chunks_needed(df, keys, rows_per_task)
-        if chunks:
-            narrow = df.select(
-                *dict.fromkeys([*keys, et, *tie, *(c for _, c in aggregates.values())])
-            )
-            cut = ordered.into_chunks(narrow, keys, [et, *tie], chunks)
-            return _session_in_chunks(cut, et, gap, keys, aggregates, [et, *tie])
-    grouped = df.groupBy(*keys, F.session_window(F.col(et), gap).alias("_w"))
-    return _unpack(grouped.agg(*_columns(aggregates)), keys)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        grouped = rows.groupBy(*keys, F.session_window(F.col(et), gap).alias("_w"))
+        return _unpack(grouped.agg(*_columns(aggregates)), keys)
+
+    def cut(rows: DataFrame, chunks: int) -> DataFrame:
+        narrow = rows.select(*dict.fromkeys([*keys, et, *tie, *(c for _, c in aggregates.values())]))
+        chunked = ordered.into_chunks(narrow, keys, [et, *tie], chunks)
+        return _session_in_chunks(chunked, et, gap, keys, aggregates, [et, *tie])
+
+    if df.isStreaming:
+        return plain(df)
+    return ordered.by_size(df, keys, ordered.measure(df, keys, rows_per_task), plain, cut)
 
 
 def _session_in_chunks(

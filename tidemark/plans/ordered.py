@@ -2,15 +2,15 @@
 
 ``Window.partitionBy(key)`` puts all rows of a key into one task.  That is the
 best plan while keys are small, and no plan at all when one key holds a third of
-100 TB.  The functions here measure first.  When the largest key fits
-``rows_per_task`` they use the plain window.  Otherwise they
+100 TB.  The functions here measure first: one scan counts the rows and sketches the frequent
+keys.  Keys that fit ``rows_per_task`` stay on the plain window.  The rows of the others
 
-1. range-partition by (key, order), which cuts a hot key into consecutive chunks
-   of about equal size whatever its time distribution, and pin the result with a
+1. are range-partitioned by (key, order), which cuts a hot key into consecutive chunks
+   of about equal size whatever its time distribution, and pinned with a
    checkpoint so that every later step sees the same chunk borders even when an
    executor is lost;
-2. run the window inside (key, chunk);
-3. repair what crosses a chunk border from a table that has at most a few rows
+2. pass the window inside (key, chunk);
+3. are repaired where something crosses a chunk border, from a table that has at most a few rows
    per chunk.
 
 The order columns have to make each row of a key distinct, otherwise "the next
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -34,6 +35,64 @@ _SEED = "_seed"
 
 Build = Callable[[WindowSpec], Mapping[str, Column]]
 
+#: Keys that the sketch of frequent keys keeps; it misses none that has over 7 / SKETCH_KEYS of the rows.
+SKETCH_KEYS = 1 << 16
+#: Most frequent keys that are told apart; with more, all rows are cut.
+MOST_HOT = 10_000
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """How to run an ordered computation: which keys have to be cut, and into how many chunks in all.
+
+    No chunks: every key fits a task.  Chunks without ``hot`` keys: all rows are cut.
+    """
+
+    chunks: int = 0
+    hot: tuple[int, ...] = ()
+
+
+def measure(df: DataFrame, keys: Sequence[str], rows_per_task: int | None = None) -> Sizes:
+    """Count the rows and find the keys with more rows than a task takes, in one scan."""
+    budget = session.rows_per_task(df.sparkSession, rows_per_task)
+    if not keys:
+        rows = df.count()
+        return Sizes(max(2, math.ceil(rows / budget))) if rows > budget else Sizes()
+    key = F.xxhash64(*keys)
+    # A mergeable sketch of frequent items; its estimates are never too low.
+    top = F.call_function("approx_top_k", key, F.lit(MOST_HOT), F.lit(SKETCH_KEYS))
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(key).alias("keys"), top.alias("top")).first()
+    rows = found["rows"]
+    if rows <= budget:
+        return Sizes()
+    if 7 * rows > budget * SKETCH_KEYS:  # too coarse for this many rows: count
+        chunks = chunks_needed(df, keys, rows_per_task)
+        return Sizes(chunks)
+    hot = [(t["item"], t["count"]) for t in found["top"] if t["count"] > budget]
+    if not hot:
+        return Sizes()
+    cut = sum(n for _, n in hot)
+    exact = found["keys"] < SKETCH_KEYS // 4  # so few keys all have a place of their own in the sketch
+    if len(hot) == MOST_HOT or (exact and cut == rows):
+        return Sizes(max(2, math.ceil(rows / budget)))
+    return Sizes(max(2, math.ceil(cut / budget)), tuple(h for h, _ in hot))
+
+
+def by_size(
+    df: DataFrame,
+    keys: Sequence[str],
+    sizes: Sizes,
+    plain: Callable[[DataFrame], DataFrame],
+    cut: Callable[[DataFrame, int], DataFrame],
+) -> DataFrame:
+    """``plain`` for the keys that fit a task, ``cut`` into chunks for the hot ones."""
+    if not sizes.chunks:
+        return plain(df)
+    if not sizes.hot:
+        return cut(df, sizes.chunks)
+    is_hot = F.xxhash64(*keys).isin(list(sizes.hot))
+    return plain(df.filter(~is_hot)).unionByName(cut(df.filter(is_hot), sizes.chunks))
+
 
 def chunks_needed(
     df: DataFrame, keys: Sequence[str], rows_per_task: int | None = None
@@ -72,11 +131,13 @@ def bounded_window(
     ``build`` gets an ordered window and returns the columns to add; none of them
     may reach more than ``preceding`` rows back or ``following`` rows ahead.
     """
-    chunks = chunks_needed(df, keys, rows_per_task)
-    if not chunks:
-        return df.withColumns(dict(build(Window.partitionBy(*keys).orderBy(*order))))
-    cut = into_chunks(df, keys, order, chunks)
-    return bounded_in_chunks(cut, keys, order, build, preceding, following).drop(CHUNK)
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.withColumns(dict(build(Window.partitionBy(*keys).orderBy(*order))))
+
+    def cut(rows: DataFrame, chunks: int) -> DataFrame:
+        return bounded_in_chunks(into_chunks(rows, keys, order, chunks), keys, order, build, preceding, following).drop(CHUNK)
+
+    return by_size(df, keys, measure(df, keys, rows_per_task), plain, cut)
 
 
 def bounded_in_chunks(
@@ -123,17 +184,20 @@ def running_total(
 
     Pass ``chunks`` when the number is already known, to save the measuring.
     """
-    if chunks is None:
-        chunks = chunks_needed(df, keys, rows_per_task)
-    if not chunks:
+    sizes = measure(df, keys, rows_per_task) if chunks is None else Sizes(chunks)
+
+    def plain(rows: DataFrame) -> DataFrame:
         running = (
             Window.partitionBy(*keys)
             .orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        return df.withColumns({n: F.sum(v).over(running) for n, v in values.items()})
-    cut = into_chunks(df, keys, order, chunks)
-    return running_in_chunks(cut, keys, order, values).drop(CHUNK)
+        return rows.withColumns({n: F.sum(v).over(running) for n, v in values.items()})
+
+    def cut(rows: DataFrame, chunks: int) -> DataFrame:
+        return running_in_chunks(into_chunks(rows, keys, order, chunks), keys, order, values).drop(CHUNK)
+
+    return by_size(df, keys, sizes, plain, cut)
 
 
 def running_in_chunks(
