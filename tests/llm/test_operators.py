@@ -335,6 +335,10 @@ def test_toxicity_sample_is_bounded_by_rows_not_by_texts(spark, monkeypatch):
     buckets, weights, border, toxic, share = toxicity.sample(docs, labelled, F.lit(True), "doc_id", "text", "toxic")
     assert len(toxic) == 61 and toxic.sum() == 4 and share == 4 / 61
     assert np.diff(border).max() == toxicity.FEATURES and len(buckets) == len(weights) == border[-1]
+    _, _, whole = next(tx.texts(pa.array([rows[-1][1]]), lower=True))
+    ((names, own),) = toxicity.features(whole)
+    back = toxicity._unpacked(toxicity._packed(names, own), len(names))
+    assert (back[0] == names).all() and np.allclose(back[1], own, rtol=1e-3)
     model = toxicity.train(buckets, weights, border, toxic, 0.5)
     said = [next(tx.texts(pa.array([t]), lower=True))[2] for t in (prose(60) + " vile scum", prose(60))]
     assert model.logits(said[0])[0] > model.logits(said[1])[0] + 0.1

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,13 +141,29 @@ def features(t: tx.Text) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield own.astype(np.int32), weight
 
 
+def _packed(buckets: np.ndarray, weights: np.ndarray) -> bytes:
+    """Features of one document: steps between buckets, weights of sixteen bits, compressed."""
+    steps = np.diff(buckets, prepend=0).astype("<u4")
+    return zstandard.ZstdCompressor(level=3).compress(steps.tobytes() + weights.astype("<f2").tobytes())
+
+
+def _unpacked(data: bytes, held: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data) if held else b""
+    return np.cumsum(np.frombuffer(raw, "<u4", held)), np.frombuffer(raw, "<f2", held, 4 * held)
+
+
+#: Features that are worked on at once where all are.
+_STRETCH = 1 << 20
+
+
 def train(
     buckets: np.ndarray, weights: np.ndarray, border: np.ndarray, toxic: np.ndarray, share: float,
     epochs: int = EPOCHS, seed: int = 7,
 ) -> Model:
     """Vectors and softmax together, by Adam on small batches.
 
-    Document ``i`` has the buckets and weights from ``border[i]`` to ``border[i + 1]``.
+    Document ``i`` has the buckets and weights from ``border[i]`` to ``border[i + 1]``; both arrays are
+    changed.
     ``share`` is the share of positive labels outside the sample; classes are weighted to it.
     """
     n = len(toxic)
@@ -155,13 +172,17 @@ def train(
         edge = 0.0 if not positive else 1.0
         return Model(np.zeros(BUCKETS), np.log((edge + 1e-6) / (1 - edge + 1e-6)))
     share = min(max(share, 1e-3), 1 - 1e-3)
-    held_by = np.bincount(buckets, minlength=BUCKETS)
+    stretches = [slice(a, a + _STRETCH) for a in range(0, len(buckets), _STRETCH)]
+    held_by = np.zeros(BUCKETS, np.int64)
+    for own in stretches:
+        held_by += np.bincount(buckets[own], minlength=BUCKETS)
     trust = (held_by / (held_by + SHRINK)).astype(np.float32)
     names = np.flatnonzero(held_by)
     column = np.zeros(BUCKETS, np.int32)
     column[names] = np.arange(len(names))
-    weights = weights * trust[buckets]
-    buckets = column[buckets]
+    for own in stretches:  # in place: the arrays are the larger part of the driver's memory
+        weights[own] *= trust[buckets[own]]
+        buckets[own] = column[buckets[own]]
     flagged = np.zeros(len(names), bool)
     number = np.zeros(len(names), np.int64)
     rng = np.random.default_rng(seed)
@@ -240,20 +261,21 @@ def sample(
             for row, stop, t in tx.texts(batch.column(0), lower=True):
                 own = list(features(t))
                 columns = [batch.column(i).slice(row, stop - row) for i in (1, 2, 3)]
-                for k in (0, 1):
-                    columns.append(pa.array([f[k].tobytes() for f in own], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["_id", "_y", "_hash", "buckets", "weights"])
+                columns.append(pa.array([len(b) for b, _ in own], pa.int32()))
+                columns.append(pa.array([_packed(b, w) for b, w in own], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["_id", "_y", "_hash", "held", "packed"])
 
-    counted = read.mapInArrow(run, f"_id {id_type}, _y int, _hash long, buckets binary, weights binary")
-    one = F.min(F.struct("_hash", "buckets", "weights")).alias("one")
+    counted = read.mapInArrow(run, f"_id {id_type}, _y int, _hash long, held int, packed binary")
+    one = F.min(F.struct("_hash", "held", "packed")).alias("one")
     rows = (
         counted.groupBy("_id", "_y").agg(one)
-        .select(F.xxhash64("_id").alias("at"), F.col("_id"), F.col("_y"), "one.buckets", "one.weights").collect()
+        .select(F.xxhash64("_id").alias("at"), F.col("_id"), F.col("_y"), "one.held", "one.packed").collect()
     )
     rows.sort(key=lambda r: (r["at"], r["_id"], r["_y"]))
-    border = np.concatenate([[0], np.cumsum([len(r["buckets"]) // 4 for r in rows], dtype=np.int64)]).astype(np.int64)
-    buckets = np.frombuffer(b"".join(r["buckets"] for r in rows), np.int32)
-    weights = np.frombuffer(b"".join(r["weights"] for r in rows), np.float32)
+    border = np.concatenate([[0], np.cumsum([r["held"] for r in rows], dtype=np.int64)]).astype(np.int64)
+    buckets, weights = np.empty(border[-1], np.int32), np.empty(border[-1], np.float32)
+    for r, a, b in zip(rows, border.tolist(), border[1:].tolist()):
+        buckets[a:b], weights[a:b] = _unpacked(r["packed"], r["held"])
     toxic = np.array([r["_y"] == 1 for r in rows], bool)
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     return buckets, weights, border, toxic, share
