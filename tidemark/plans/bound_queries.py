@@ -18,7 +18,7 @@ from tidemark.functions import decode, encode, hashing, time
 from tidemark.operators import aggregate, changelog, dedup, joins, over, patterns, project, windows
 from tidemark.sources import tables, upsert
 from tidemark.streaming import dedup as stream_dedup
-from tidemark.streaming import ordered_batches, sinks
+from tidemark.streaming import join_batches, ordered_batches, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -460,6 +460,22 @@ def dedup_session_first_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def session_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions on the time of arrival, here one event a second: purchases with at most two others between."""
+    arrived = tables.rates(spark, sf_dir).filter(_is("purchase")).withColumn("arrived", F.timestamp_seconds("event_id"))
+    aggregates = {"first_id": ("min", "event_id"), "last_id": ("max", "event_id"), "cnt_num": ("count", "num")}
+    found = windows.session(arrived, "arrived", "3 seconds", ["hbdm"], aggregates, ARRIVAL)
+    return found.select("hbdm", *aggregates, F.unix_seconds("w_end").alias("closes"))
+
+
+@query
+def promote_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epoch milliseconds promoted to event time, then windowed on it."""
+    rates = project.with_event_time(tables.rates(spark, sf_dir).select("ts", "hbdm", "num"), "ts", "promoted")
+    return _naive(windows.rate_summary(rates, "promoted", "2 hours"))
+
+
 # Join
 
 
@@ -628,9 +644,14 @@ def stream_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(windows.sql_hop(_watermarked(spark, sf_dir), "1 hour", "2 hours"))
 
 
+def _ordered(spark: SparkSession, sf_dir: str, step: ordered_batches.Step) -> DataFrame:
+    return _naive(ordered_batches.drain(tables.stream_rates(spark, sf_dir), step, DELAY))
+
+
 @query
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drained(windows.sql_session(_watermarked(spark, sf_dir), "30 minutes"))
+    step = ordered_batches.Sessions(["hbdm"], "30 minutes", "et", ARRIVAL, {"cnt_num": ("count", "num")})
+    return _ordered(spark, sf_dir, step).withColumnsRenamed({"w_start": "s_start", "w_end": "s_end"})
 
 
 @query
@@ -661,10 +682,6 @@ def stream_dedup_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(unique.select("window_end", "offset"))
 
 
-def _ordered(spark: SparkSession, sf_dir: str, step: ordered_batches.Step) -> DataFrame:
-    return _naive(ordered_batches.drain(tables.stream_rates(spark, sf_dir), step, DELAY))
-
-
 @query
 def stream_dedup_session_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     step = ordered_batches.SessionFirst(["user_id"], "6 hours", "et", ARRIVAL)
@@ -673,9 +690,16 @@ def stream_dedup_session_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, _ = _orders_and_rates(tables.stream_rates(spark, sf_dir).withWatermark("et", "0 seconds"))
-    _, rates = _orders_and_rates(_watermarked(spark, sf_dir))
-    return _drained(joins.order_rate_join(orders, rates, "1 hour", salt=2))
+    orders, rates = _orders_and_rates(tables.stream_rates(spark, sf_dir))
+    sides = join_batches.both_sides(
+        orders.withColumnRenamed("et", "order_et"),
+        rates.withColumnsRenamed({"ts": "rate_ts", "hbdm": "rate_hbdm", "et": "rate_et"}),
+    )
+    joined = join_batches.drain(
+        sides, on=[("hbdm", "rate_hbdm")], left_time="order_et", right_time="rate_et", size="1 hour",
+        delays=("0 seconds", DELAY), finish=joins.converted,
+    )
+    return _naive(joined)
 
 
 @query

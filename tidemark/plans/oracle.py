@@ -366,6 +366,22 @@ FROM candidates c LEFT JOIN seen s ON c.user_id = s.user_id AND c.num = s.num
     + _session_first("user_id", 21600000000, "event_id, user_id, et"),
     "dedup_session_first_split": _with()
     + _session_first("hbdm", 1800000000, "event_id, hbdm, et"),
+    "session_arrival": _with()
+    + """
+SELECT hbdm, min(event_id) AS first_id, max(event_id) AS last_id, count(num) AS cnt_num, max(event_id) + 3 AS closes FROM (
+  SELECT *, sum(opens) OVER (ORDER BY event_id) AS n FROM (
+    SELECT *, CASE WHEN event_id - lag(event_id) OVER (ORDER BY event_id) <= 3 THEN 0 ELSE 1 END AS opens
+    FROM rate WHERE hbdm = 'purchase'
+  )
+) GROUP BY hbdm, n
+""",
+    "promote_event_time": _with()
+    + """
+SELECT hbdm, time_bucket(INTERVAL '2 hours', make_timestamp(ts * 1000)) AS w_start,
+       time_bucket(INTERVAL '2 hours', make_timestamp(ts * 1000)) + INTERVAL '2 hours' AS w_end,
+       CAST(sum(num) AS BIGINT) AS sum_num, min(ts) AS min_ts, max(ts) AS max_ts
+FROM rate GROUP BY ALL
+""",
     "window_join": _with() + _JOIN,
     "cep_times": _with() + _runs(""),
     "cep_times_user": _with() + _runs("PARTITION BY user_id"),

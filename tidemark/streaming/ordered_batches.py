@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import duration_ms, epoch_us
-from tidemark.operators import changelog, over, patterns
+from tidemark.operators import changelog, over, patterns, windows
 from tidemark.plans import ordered
 from tidemark.sources import tables
 from tidemark.sources.upsert import BATCH_COLUMN, RUN_COLUMN, partition_of, run_of
@@ -313,6 +313,62 @@ class SessionFirst(Step):
         return carried.select("*", *others)
 
 
+class Sessions(Step):
+    """Aggregates per key and session, once the watermark has passed its end.
+
+    Rows of a batch are merged to sessions first, by the batch operator, and these with the open sessions
+    of the tail, of which a key has one at most.  ``aggregates`` is as for ``windows.session``.
+    """
+
+    def __init__(self, keys, gap: str, et, order, aggregates, rows_per_task: int | None = None) -> None:
+        super().__init__(keys, et, order, rows_per_task)
+        self.gap, self.gap_us, self.aggregates = gap, duration_ms(gap) * 1000, dict(aggregates)
+
+    def rows(self, df):
+        """Each row is a session of its own, its aggregates are partial results."""
+        windows._columns(self.aggregates)
+        one = {"count": lambda c: F.col(c).isNotNull().cast("long"), "sum": lambda c: F.col(c).cast(_sum_type(df, c))}
+        parts = {n: one.get(f, F.col)(c) for n, (f, c) in self.aggregates.items()}
+        return self.picked(df.withColumns({"_last": epoch_us(self.et), **parts}), "_last", *parts)
+
+    def _merged(self, both: DataFrame) -> DataFrame:
+        """``_low`` and ``_high`` of all sessions with their aggregates."""
+        more = {n: ({"count": "sum"}.get(f, f), n) for n, (f, _) in self.aggregates.items()}
+        arrived = windows.session(
+            both.filter(NEW), self.et, self.gap, self.keys, {"_low": ("min", US), "_high": ("max", "_last"), **more},
+            self.order, self.rows_per_task,
+        ).drop("w_start", "w_end")
+        carried = both.filter(~F.col(NEW)).select(*self.keys, F.col(US).alias("_low"), F.col("_last").alias("_high"), *more)
+        place = ["_low", "_high"]
+        before = ordered.bounded_window(
+            arrived.unionByName(carried), self.keys, place, lambda w: {"_before": F.lag("_high").over(w)}, preceding=1,
+            rows_per_task=self.rows_per_task,
+        )
+        opens = F.col("_before").isNull() | (F.col("_low") - F.col("_before") > self.gap_us)
+        numbered = ordered.running_total(
+            before, self.keys, place, {"_session": F.when(opens, 1).otherwise(0).cast("long")}, self.rows_per_task
+        )
+        kinds = {f.name: f.dataType for f in both.schema.fields}
+        return numbered.groupBy(*self.keys, "_session").agg(
+            F.min("_low").alias("_low"), F.max("_high").alias("_high"),
+            *[getattr(F, f)(n).cast(kinds[n]).alias(n) for n, (f, _) in more.items()],
+        )
+
+    def results(self, both, watermark_us):
+        done = self._merged(both).filter(F.col("_high") + self.gap_us <= watermark_us)
+        start, end = F.timestamp_micros("_low"), F.timestamp_micros(F.col("_high") + self.gap_us)
+        return done.select(*self.keys, start.alias("w_start"), end.alias("w_end"), *self.aggregates, F.lit(True).alias(NEW))
+
+    def tail(self, both, watermark_us):
+        open_ = self._merged(both).filter(F.col("_high") + self.gap_us > watermark_us)
+        kept = open_.select(
+            *self.keys, F.timestamp_micros("_low").cast(both.schema[self.et].dataType).alias(self.et),
+            F.col("_low").alias(US), F.col("_high").alias("_last"), *self.aggregates,
+        )
+        others = [F.lit(None).cast(f.dataType).alias(f.name) for f in both.schema.fields if f.name not in kept.columns]
+        return kept.select("*", *others)
+
+
 class OrderedBatches:
     """The ``foreachBatch`` target that runs a step; results go to ``target``, state to ``state``."""
 
