@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import compare
@@ -12,7 +13,7 @@ import pytest
 
 import corpus_pipeline
 from tidemark import session
-from tidemark.llm import ngrams, oracle, queries
+from tidemark.llm import ngrams, oracle, queries, warc
 
 
 @pytest.fixture(scope="module")
@@ -36,9 +37,32 @@ def test_substring_dedup(spark, sf_dir, docs):
 
 
 def test_archives(spark, sf_dir):
+    pages = [(r.page_id, (r.html or "").encode()) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    first = {}
+    for page, body in sorted(pages):
+        first.setdefault(body, page)
+    expected = {
+        page: (len(body), warc.payload_digest(body), *(("response", None) if first[body] == page else ("revisit", first[body])))
+        for page, body in pages
+    }
     rows = _rows(spark, sf_dir, "op3_warc")
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
-    assert {r.page_id: r.payload_bytes for r in rows} == {p.page_id: len((p.html or "").encode()) for p in pages}
+    assert {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows} == expected and len(rows) == len(pages)
+
+
+def test_byte_bpe(spark, sf_dir, docs):
+    import base64
+
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    digest = lambda data: hashlib.sha256(data).hexdigest()
+    expected = {}
+    for d, text in docs:
+        ids = library.encode_ordinary(text or "")
+        expected[d] = len(ids), digest(",".join(map(str, ids)).encode()), digest((text or "").encode())
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in _rows(spark, sf_dir, "op9_byte_bpe")} == expected
 
 
 def test_token_shards(spark, sf_dir, docs):

@@ -102,6 +102,17 @@ def test_archives_round_trip(spark, odd, monkeypatch):
     assert warc.archive_and_read(_pages(spark, [])).count() == 0
 
 
+def test_urls_cannot_break_headers_and_null_ids_have_rows(spark, odd):
+    urls = ["http://a.org/x\r\nFoo", "http://a.org/x\r\n\r\nbody", "http://a.org/\nWARC-Type: revisit", "\u2028", "http://a.org/x y%0A"]
+    rows = [(i, u, f"body {i}", "", "", "") for i, u in enumerate(urls)]
+    rows += [(None, "http://a.org/x", "body 2", "", "", ""), (None, "http://n.org/", "alone", "", "", ""), (None, None, "alone", "", "", "")]
+    got = [(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.archive_and_read(_pages(spark, rows)).collect()]
+    expected = [(i, 6, "response", None) for i in range(5)] + [(None, 6, "revisit", 2)] + 2 * [(None, 5, "response", None)]
+    assert sorted(map(repr, got)) == sorted(map(repr, expected))
+    headers, body = warc.parse(warc.record(7, urls[2], b"x", "D", None))
+    assert (headers["WARC-Target-URI"], headers["WARC-Type"], body) == ("http://a.org/%0AWARC-Type: revisit", "response", b"x")
+
+
 def test_small_payloads_are_not_revisited(spark, odd):
     rows = [(i, "u", "ab", "", "", "") for i in range(3)] + [(i, "u", "abcdef", "", "", "") for i in range(3, 6)]
     got = {r.page_id: r.record_type for r in warc.archive_and_read(_pages(spark, rows), least_revisit=3).collect()}
@@ -256,7 +267,7 @@ def test_language_model(odd, none, odd_rows, monkeypatch):
     monkeypatch.setattr(ngrams, "HELD_PAIRS", 4_000)
     model = ngrams.train(odd, F.col("doc_id") % 5 != 1)
     got = {r.doc_id: tuple(r)[1:] for r in ngrams.score(odd, model).collect()}
-    for (d, _), (n, known, total, base, score) in zip(odd_rows, plain.lm(odd_rows, lambda d: d % 5 != 1), strict=True):
+    for (d, _), (n, known, total, base, score) in zip(odd_rows, plain.lm(odd_rows, lambda d: d % 5 != 1, 1), strict=True):
         assert got[d][:3] == (n, known, total)
         assert got[d][3] == pytest.approx(base, rel=1e-9)
         assert abs(got[d][4] - score) <= 0.02 * n

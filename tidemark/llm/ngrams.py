@@ -410,7 +410,7 @@ def _followers(texts: DataFrame, model: Model, shards: int, folder: str, least_p
     return uris
 
 
-def train(docs: DataFrame, learn: Column, text_col: str = "text", least_pair: int = 2) -> Model:
+def train(docs: DataFrame, learn: Column, text_col: str = "text", least_pair: int = 1) -> Model:
     """A model of all texts for which ``learn`` holds; its files are in the shared folder.
 
     Pairs seen less than ``least_pair`` times are left out, also of c(v); 1 leaves none out.

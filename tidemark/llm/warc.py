@@ -10,16 +10,20 @@ Of records with equal payloads the one with the smallest id is the response and
 revisit it; payloads smaller than ``least_revisit`` bytes are always written in full.
 
 Defined results: a null html is an empty payload, a null url an empty key; equal urls are
-captures of their own, told apart by the page id, which must not be null.  Rows that share
+captures of their own, told apart by the page id.  A null id comes before all others in the index; its
+page revisits a page with an id that has the same payload, and is a response where there is none.
+Control characters of a url are percent-encoded in the record header.  Rows that share
 url and id are captures of their own as well, and are all found together; each is
 judged by its own payload.  A hot host or a hot url spreads over shards, because the order
-is on (key, id).
+is on (key, id).  Pages of any length are held whole; extra columns stay outside, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import math
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -37,6 +41,11 @@ ARCHIVE_BYTES = 64 << 20
 BLOCK_CAPTURES = 512
 CACHED_BLOCKS = 8
 _KEY_PART = "\x1f"
+#: Characters that no header line may have.
+_CONTROL = re.compile("[\x00-\x1f\x7f-\x9f\u2028\u2029]")
+#: Captures that a task looks up, where there are many; smaller archives use all cores.
+LOOKUPS_PER_TASK = 50_000
+LEAST_LOOKUPS = 1_000
 
 
 def url_key(url: str | None) -> str:
@@ -57,15 +66,24 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def _header_url(url: str) -> str:
+    """The URL as a header value: a line break in it would end the header."""
+    return _CONTROL.sub(lambda c: "".join(f"%{b:02X}" for b in c[0].encode()), url)
+
+
+def _page_name(page_id: int | None) -> str:
+    return "" if page_id is None else str(page_id)
+
+
+def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One record as a gzip member; a revisit has no payload."""
     kind = "response" if refers_to is None else "revisit"
     body = payload if refers_to is None else b""
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{page_id}>",
-        f"WARC-Target-URI: {url}",
+        f"WARC-Record-ID: <urn:page:{_page_name(page_id)}>",
+        f"WARC-Target-URI: {_header_url(url)}",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"X-Payload-Length: {len(payload)}",
     ]
@@ -91,9 +109,13 @@ def with_decisions(pages: DataFrame, least_revisit: int) -> DataFrame:
     own = pages.withColumns({"_sha": F.sha1(html), "_size": F.octet_length(html).cast("long")})
     narrow = session.checkpointed(own.where(F.col("_size") >= least_revisit).select("_page", "_sha", "_size"))
     first = narrow.groupBy("_sha", "_size").agg(F.min("_page").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    again = narrow.join(ship.measured(first), ["_sha", "_size"]).where(F.col("_page") != F.col("_first"))
-    again = ship.measured(again.select("_page", "_sha", "_size", F.col("_first").alias("_refers_to")).distinct())
-    return own.join(again, ["_page", "_sha", "_size"], "left")
+    # Without any id there is no page to refer to.
+    other = F.col("_first").isNotNull() & ~F.col("_page").eqNullSafe(F.col("_first"))
+    again = narrow.join(ship.measured(first), ["_sha", "_size"]).where(other)
+    names = {"_page": "_again", "_sha": "_again_sha", "_size": "_again_size", "_first": "_refers_to"}
+    again = ship.measured(again.select(*[F.col(c).alias(n) for c, n in names.items()]).distinct())
+    same = (F.col("_sha") == F.col("_again_sha")) & (F.col("_size") == F.col("_again_size"))
+    return own.join(again, same & F.col("_page").eqNullSafe(F.col("_again")), "left")
 
 
 def write(
@@ -102,7 +124,7 @@ def write(
     """Write all archives; the captures: ``key``, ``page_id``, ``uri``, ``offset``, ``length``."""
     names = pages.select(
         F.col(id_col).cast("long").alias("_page"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html")
-    ).where("_page IS NOT NULL")
+    )
     schema = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("uri", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +182,7 @@ def build_index(captures: DataFrame, folder: str) -> DataFrame:
 
         for batch in batches:
             for key, page, uri, offset, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                name = f"{_line(key)}{_KEY_PART}{page}"
+                name = f"{_line(key)}{_KEY_PART}{_page_name(page)}"
                 first = name if first is None else first
                 last = name
                 lines.append(_KEY_PART.join((name, uri, str(offset), str(length))))
@@ -186,11 +208,11 @@ def _line(key: str) -> str:
     return key.replace("%", "%25").replace("\n", "%0A").replace(_KEY_PART, "%1F")
 
 
-def _order(name: str) -> tuple[bytes, int]:
+def _order(name: str) -> tuple[bytes, float]:
     key, _, page = name.rpartition(_KEY_PART)
     for code, mark in (("%0A", "\n"), ("%1F", _KEY_PART), ("%25", "%")):
         key = key.replace(code, mark)
-    return key.encode(), int(page)
+    return key.encode(), int(page) if page else -math.inf
 
 
 class Index:
@@ -253,7 +275,7 @@ def lookup(spark: SparkSession, index: DataFrame, asked: DataFrame, url_col: str
         for batch in batches:
             out: list[tuple] = []
             for key, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                name = f"{_line(key)}{_KEY_PART}{page}"
+                name = f"{_line(key)}{_KEY_PART}{_page_name(page)}"
                 if name == before:  # equal questions are neighbours
                     continue
                 before = name
@@ -281,8 +303,12 @@ def lookup(spark: SparkSession, index: DataFrame, asked: DataFrame, url_col: str
                 ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
             )
 
-    questions = asked.select(F.col(url_col).alias("_url"), F.col(id_col).cast("long").alias("page_id")).where("page_id IS NOT NULL")
-    ordered = questions.mapInArrow(keyed, "key string, page_id long").repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    questions = asked.select(F.col(url_col).alias("_url"), F.col(id_col).cast("long").alias("page_id"))
+    captures = sum(r["captures"] for r in shards)
+    cores = min(spark.sparkContext.defaultParallelism, math.ceil(captures / LEAST_LOOKUPS))
+    tasks = max(1, cores, math.ceil(captures / LOOKUPS_PER_TASK))
+    keys = questions.mapInArrow(keyed, "key string, page_id long")
+    ordered = keys.repartitionByRange(tasks, "key", "page_id").sortWithinPartitions("key", "page_id")
     return ordered.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
