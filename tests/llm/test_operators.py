@@ -191,6 +191,21 @@ def test_token_counts_of_a_piece_model(odd, odd_rows):
     assert got == {d: len(model.encode(t or "", num_threads=1)) for d, t in odd_rows}
 
 
+def test_frequent_pieces_come_from_the_whole_corpus(spark, monkeypatch):
+    """The table holds the frequent pre-tokens of every part, and no text is shuffled for it."""
+    ship.prepare(spark)
+    rows = [(i, " ".join(f"part{i % 8}{chr(97 + i % 8)}" for _ in range(50)) + f" rare{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    monkeypatch.setattr(token_counts, "HELD", 60)
+    monkeypatch.setattr(token_counts, "SENT", 20)
+    tokenizer = token_counts.Tokenizer.read(public_tokenizers.path("word_bpe_49k.json"))
+    table = token_counts.frequent_lengths(docs, tokenizer, "text")
+    (_, _, t), = tx.texts(pa.array([" ".join(f"part {chr(97 + i)}" for i in range(8))]))
+    assert (table.find(token_counts.WordPieces(t).hashes()) == 1).all()
+    plan = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
 def test_counts_with_a_crowded_table(monkeypatch):
     tokenizer = token_counts.Tokenizer.read(public_tokenizers.path("word_bpe_49k.json"))
     monkeypatch.setattr(token_counts, "CACHE_SLOTS", 4)

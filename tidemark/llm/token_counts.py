@@ -1,7 +1,8 @@
-"""Token counts per document without a shuffle.
+"""Token counts per document without a shuffle of texts or pre-tokens.
 
-Tier one is a compact hash table of the lengths of frequent pre-tokens, built from a
-bounded sample of the corpus and broadcast.  Tier two encodes the pre-tokens it lacks with
+Tier one is a compact hash table of the lengths of frequent pre-tokens, broadcast.  Every task counts
+the pre-tokens of its documents and sends its most frequent ones, a few thousand; the most
+frequent of these fill the table.  Tier two encodes the pre-tokens it lacks with
 the tokenizer itself, each distinct one once, behind a bounded cache of the worker.
 
 The pre-tokens are those of a word vocabulary: normalised to NFC, white space folded,
@@ -10,11 +11,13 @@ lower-cased, then split by ``'s|'t|'re|'ve|'m|'ll|'d|\\p{L}+|\\p{N}|[^\\s\\p{L}\
 Defined results: null and empty texts have no tokens and no bytes.  A text that holds one of
 the vocabulary's added strings, or a character whose case or composition depends on what
 surrounds it, is encoded whole by the library; so is everything with a vocabulary
-of another kind.  Pre-tokens are told apart by 64-bit hashes.
+of another kind.  Pre-tokens are told apart by 64-bit hashes.  Texts of any length are taken
+whole; rows of equal id are rows of their own; extra columns stay outside, whatever their names.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import os
 import unicodedata
@@ -30,9 +33,11 @@ from pyspark.sql import functions as F
 from tidemark.llm import text as tx
 from tidemark.llm.pieces import ENDINGS, LETTER, NUMBER, SPACE, UNKNOWN, classes
 
-#: Documents (at most) whose pre-tokens fill the table, and its number of slots.
-SAMPLE_DOCUMENTS = 4_000
+#: Slots of the table of frequent pre-tokens; half of them are filled.
 SLOTS = 1 << 16
+#: Pre-tokens that a task counts at once (the rarer half goes when there are more), and that it sends.
+#: Both bound memory and change hit rates alone: what the table lacks is encoded.
+HELD, SENT = 1 << 18, 4_096
 #: Slots of the worker's cache of other pre-tokens; a slot keeps the latest.
 CACHE_SLOTS = 1 << 20
 _PLAIN, _WHOLE = 1, 2
@@ -216,23 +221,35 @@ _counters: dict[str, Counter] = {}
 
 
 def frequent_lengths(docs: DataFrame, tokenizer: Tokenizer, text_col: str) -> Lengths:
-    """The table of the pre-tokens that a bounded sample has most often."""
+    """The table of the pre-tokens that the corpus has most often."""
     table = Lengths(SLOTS)
     if not tokenizer.by_words:
         return table
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[int, int] = {}
+        names: dict[int, str] = {}
         for batch in batches:
             for _, _, t in tx.texts(batch.column(0)):
                 pieces = WordPieces(t)
                 distinct, where, n = np.unique(pieces.hashes(), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([pieces.piece(i) for i in where.tolist()], pa.string()), pa.array(n, pa.int64())], ["piece", "n"]
-                )
-
-    sample = docs.select(F.col(text_col).alias("_text")).where("_text IS NOT NULL").limit(SAMPLE_DOCUMENTS)
+                for h, i, c in zip(distinct.tolist(), where.tolist(), n.tolist()):
+                    if h in counts:
+                        counts[h] += c
+                    else:
+                        counts[h] = c
+                        names[h] = pieces.piece(i)
+                if len(counts) > HELD:
+                    counts = {h: counts[h] for h in heapq.nlargest(HELD // 2, counts, key=counts.__getitem__)}
+                    names = {h: names[h] for h in counts}
+        top = heapq.nlargest(SENT, counts, key=counts.__getitem__)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([names[h] for h in top], pa.string()), pa.array([counts[h] for h in top], pa.int64())], ["piece", "n"]
+        )
+
+    texts = docs.select(F.col(text_col).alias("_text")).where("_text IS NOT NULL")
     top = (
-        sample.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+        texts.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "piece").limit(SLOTS // 2).collect()
     )
     pieces = [r.piece for r in top][::-1]  # the most frequent is put last and stays
