@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 
-from tidemark.llm import jaccard, ship
+from tidemark.llm import jaccard, ship, store
 from tidemark.llm import text as tx
 from tidemark.llm.components import components
 
@@ -95,14 +95,16 @@ def test_large_group_of_near_copies_uses_tiles(spark, monkeypatch):
     assert _found(spark, rows) == _classes(rows)
 
 
-def test_tiles_return_a_spanning_forest():
+def test_tiles_return_a_spanning_forest(tmp_path):
     rng = random.Random(6)
     base = [f"v{rng.randrange(400)}" for _ in range(120)]
     data, offsets = tx.buffers(pa.array([_edited(rng, base, rng.randrange(0, 3)) for _ in range(200)]))
     grams, sizes = jaccard.document_sets(tx.Text(data, offsets, lower=True), 3)
     bits, words = jaccard.bitmaps(grams, sizes)
     parts = [np.split(x.view(np.int64), np.cumsum(n)[:-1]) for x, n in ((grams, sizes), (bits, words))]
-    rows = pd.DataFrame({"node": np.arange(200), "root": np.arange(200) % 190, "n": sizes, "grams": parts[0], "bits": parts[1]})
+    uri = store.write(f"file://{tmp_path}", ".grams", grams.astype("<u8").tobytes())
+    at = 8 * (np.cumsum(sizes) - sizes)
+    rows = pd.DataFrame({"node": np.arange(200), "root": np.arange(200) % 190, "n": sizes, "uri": uri, "at": at, "bits": parts[1]})
     links = jaccard._tile_links(rows, 9, 10)
     assert 0 < len(links) < 190
     for a, b in links.itertuples(index=False):

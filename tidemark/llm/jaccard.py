@@ -11,7 +11,7 @@
    one, so that a node is searched once whatever its number of keys, in bounded tiles of
    like sizes, block against block.  The bit counts of hashed bitmaps bound an overlap from
    above, and only pairs that can still reach the threshold get the exact intersection of their
-   sorted arrays.  A tile returns a spanning forest: at most as many links as it has rows.
+   sorted arrays, which lie in files of the shared folder and are read by range.  A tile returns a spanning forest: at most as many links as it has rows.
 4. Links are contracted to components.
 
 Defined results: words are A-Z lower-cased; a document with fewer words than ``width`` is its
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import ship
+from tidemark.llm import ship, store
 from tidemark.llm import text as tx
 from tidemark.llm.components import components
 
@@ -39,6 +39,9 @@ GRAMS_PER_WORD = 4
 #: Most rows and n-grams of a block; a tile has one or two blocks.
 TILE_ROWS = 2_048
 TILE_GRAMS = 1 << 21
+#: Bytes of a file of n-grams, and n-grams that a task keeps of them.
+GRAM_FILE_BYTES = 32 << 20
+CACHED_GRAMS = 1 << 23
 #: Most shared keys (eight bytes each) that are broadcast to find their members.
 KEY_ROWS = 4_000_000
 _KEY_BITS = (1 << 48) - 1
@@ -186,31 +189,82 @@ def _unsigned(values: pa.Array) -> np.ndarray:
     return np.asarray(values, np.int64).view(np.uint64)
 
 
-def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, bands: Bands, want: str) -> DataFrame:
-    """``doc``, ``n``, ``node``, and as asked the ``keys`` or the ``bits`` and sorted ``grams``."""
-    extra = {"keys": ["keys"], "sets": ["bits", "grams"]}[want]
+def sets_of(
+    docs: DataFrame, id_col: str, text_col: str, width: int, bands: Bands, folder: str | None = None
+) -> DataFrame:
+    """``doc``, ``n``, ``node`` and the ``keys``; with a ``folder`` instead the ``bits``, and in its files the
+    sorted n-grams, found by ``uri`` and ``at``."""
+    extra = ["keys"] if folder is None else ["bits", "uri", "at"]
+
+    def parts(batch: pa.RecordBatch) -> Iterator[tuple[list[pa.Array], np.ndarray, np.ndarray]]:
+        for row, stop, t in tx.texts(batch.column(1), lower=True):
+            grams, sizes = document_sets(t, width)
+            columns = [
+                batch.column(0).slice(row, stop - row),
+                pa.array(sizes, pa.int64()),
+                pa.array(_node(grams, sizes).view(np.int64), pa.int64()),
+            ]
+            yield columns, grams, sizes
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, stop, t in tx.texts(batch.column(1), lower=True):
-                grams, sizes = document_sets(t, width)
-                columns = [
-                    batch.column(0).slice(row, stop - row),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(_node(grams, sizes).view(np.int64), pa.int64()),
-                ]
-                if want == "keys":
-                    keys, counts = part_keys(grams, sizes, bands)
-                    columns.append(tx.list_array(keys.view(np.int64), counts, pa.int64()))
-                else:
-                    bits, words = bitmaps(grams, sizes)
-                    columns.append(tx.list_array(bits.view(np.int64), words, pa.int64()))
-                    columns.append(tx.list_array(grams.view(np.int64), sizes, pa.int64()))
+            for columns, grams, sizes in parts(batch):
+                keys, counts = part_keys(grams, sizes, bands)
+                columns.append(tx.list_array(keys.view(np.int64), counts, pa.int64()))
                 yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "node", *extra])
 
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[list[pa.Array], np.ndarray]] = []
+        data: list[bytes] = []
+        size = 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            uri = store.write(folder, ".grams", b"".join(data))
+            for columns, at in held:
+                place = [pa.array([uri] * len(at), pa.string()), pa.array(at, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, *place], ["doc", "n", "node", *extra])
+
+        for batch in batches:
+            for columns, grams, sizes in parts(batch):
+                bits, words = bitmaps(grams, sizes)
+                columns.append(tx.list_array(bits.view(np.int64), words, pa.int64()))
+                held.append((columns, size + 8 * (np.cumsum(sizes) - sizes)))
+                data.append(grams.astype("<u8").tobytes())
+                size += 8 * len(grams)
+                if size >= GRAM_FILE_BYTES:
+                    yield from close()
+                    held, data, size = [], [], 0
+        if held:
+            yield from close()
+
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc {id_type}, n long, node long, " + ", ".join(f"{c} array<long>" for c in extra)
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    kinds = {"keys": "array<long>", "bits": "array<long>", "uri": "string", "at": "long"}
+    schema = f"doc {id_type}, n long, node long, " + ", ".join(f"{c} {kinds[c]}" for c in extra)
+    read = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    return read.mapInArrow(keyed if folder is None else written, schema)
+
+
+class Grams:
+    """N-grams of sets by range reads of their files; the latest ones stay in memory."""
+
+    def __init__(self):
+        self.files: dict[str, store.Ranges] = {}
+        self.sets: dict[tuple[str, int], np.ndarray] = {}
+        self.held = 0
+
+    def of(self, uri: str, at: int, n: int) -> np.ndarray:
+        found = self.sets.get((uri, at))
+        if found is None:
+            if uri not in self.files:
+                if len(self.files) >= 64:
+                    self.files.pop(next(iter(self.files))).close()
+                self.files[uri] = store.Ranges(uri)
+            found = np.frombuffer(self.files[uri].read(at, 8 * n), "<u8")
+            while self.sets and self.held + n > CACHED_GRAMS:
+                self.held -= len(self.sets.pop(next(iter(self.sets))))
+            self.sets[uri, at] = found
+            self.held += n
+        return found
 
 
 def _sides(pairs: DataFrame, sets: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -244,18 +298,17 @@ def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs that the intersection of their sorted arrays shows to be linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams()
         for batch in batches:
-            flat = [_unsigned(batch.column(i).flatten()) for i in (2, 3)]
-            sizes = [np.asarray(batch.column(i).value_lengths(), np.int64) for i in (2, 3)]
-            border = [np.concatenate([[0], np.cumsum(n)]) for n in sizes]
-            keep = [
-                reaches(_overlap(*(f[e[i] : e[i + 1]] for f, e in zip(flat, border, strict=True))), sizes[0][i], sizes[1][i], num, den)
-                for i in range(batch.num_rows)
-            ]
+            keep = []
+            for n_a, n_b, uri_a, uri_b, at_a, at_b in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+                shared = _overlap(grams.of(uri_a, at_a, n_a), grams.of(uri_b, at_b, n_b))
+                keep.append(reaches(shared, n_a, n_b, num, den))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    return _sides(pairs, sets, ("grams",)).mapInArrow(run, "a long, b long")
+    # Neighbours of one pivot follow each other, so its set is read once.
+    return _sides(pairs, sets, ("n", "uri", "at")).sortWithinPartitions("b", "a").mapInArrow(run, "a long, b long")
 
 
 class _Forest:
@@ -284,14 +337,16 @@ def _tile_links(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     # Sets of like sizes have like widths; the narrowest of the tile is used for all.
     width = int(bitmap_words(sizes).min(initial=1 << 40))
     bits = np.stack([folded(np.asarray(x, np.int64).view(np.uint64), width) for x in rows["bits"]])
-    grams = [np.asarray(x, np.int64).view(np.uint64) for x in rows["grams"]]
+    files, ats = rows["uri"].tolist(), rows["at"].tolist()
+    grams = Grams()
+    own = lambda i: grams.of(files[i], ats[i], int(sizes[i]))
     links = []
     for i in range(len(rows)):
         stop = int(np.searchsorted(sizes, sizes[i] * den // num, "right"))
         others = forest.apart(i, np.arange(i + 1, stop))
         others = others[_can_reach(bits[i], bits[others], sizes[i], sizes[others], num, den)]
         for j in others.tolist():
-            if forest.of[i] != forest.of[j] and reaches(_overlap(grams[i], grams[j]), sizes[i], sizes[j], num, den):
+            if forest.of[i] != forest.of[j] and reaches(_overlap(own(i), own(j)), sizes[i], sizes[j], num, den):
                 forest.join(i, j)
                 links.append((nodes[i], nodes[j]))
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
@@ -354,7 +409,7 @@ def _tiles(fields: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         (F.col("size_class") - 1).alias("c"), F.lit(1).alias("up"), t.alias("s"), F.col("share").alias("t")))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("c"), F.lit(0).alias("up"), F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("t")))
     dealt = placed.withColumn("tile", F.explode(F.when(F.col("blocks") == 1, whole).otherwise(F.concat(own, upward, downward))))
-    rows = dealt.select("field", "tile.*", "node", "root").join(sets.select("node", "n", "bits", "grams"), "node")
+    rows = dealt.select("field", "tile.*", "node", "root").join(sets.select("node", "n", "bits", "uri", "at"), "node")
     return rows.groupBy("field", "c", "up", "s", "t").applyInPandas(
         lambda group: _tile_links(group, num, den), "a long, b long"
     )
@@ -371,7 +426,7 @@ def classes(
     num, den = threshold
     scratch = ship.Scratch(docs.sparkSession)
     bands = Bands(num, den)
-    keyed = scratch.keep(sets_of(docs, id_col, text_col, width, bands, "keys"))
+    keyed = scratch.keep(sets_of(docs, id_col, text_col, width, bands))
     # One document stands for all of its node; repeated ids may leave a few more.
     copied = keyed.where("n > 0").groupBy("node").agg(F.min("doc").alias("_least"), F.count(F.lit(1)).alias("_c")).where("_c > 1")
     copies = keyed.select("doc", "node").join(copied.select(F.col("node").alias("_node"), "_least"), F.col("node") == F.col("_node")).where(
@@ -387,7 +442,7 @@ def classes(
     chosen = keyed.select("doc", "node").join(nodes, F.col("node") == F.col("_node")).groupBy("node").agg(F.min("doc").alias("_doc")).select("_doc")
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     read = texts.join(ship.measured(chosen, keep=scratch.keep), "_doc", "left_semi")
-    sets = scratch.keep(sets_of(read, "_doc", "_text", width, bands, "sets").drop("doc"))
+    sets = scratch.keep(sets_of(read, "_doc", "_text", width, bands, f"{scratch.folder}/grams").drop("doc"))
 
     links = roots = None
     for _ in range(2):
