@@ -52,6 +52,36 @@ def changes(counted: DataFrame, key: str, order: Sequence[str], counts: Column)
     )
 
 
+def net_changes(
+    changelog: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], acc: str = "acc"
+) -> DataFrame:
+    """The changelog with all that cancels inside a key left out: what was before, and what is after.
+
+    A key gives its first retraction and its last addition, or nothing where both have one
+    value.  At equal ``order`` a retraction comes before the addition.  First and last are chosen
+    in the map tasks, so a key with many changes reaches its reducer as one row a task.
+    """
+    place = F.struct(*order, acc)
+    change = F.struct(F.col(acc).alias("acc"), F.col(value).alias("value"))
+    ends = changelog.groupBy(*keys).agg(F.min_by(change, place).alias("_first"), F.max_by(change, place).alias("_last"))
+    first, last = F.col("_first"), F.col("_last")
+    taken = F.when(~first["acc"], first)
+    given = F.when(last["acc"], last)
+    same = taken.isNotNull() & given.isNotNull() & taken["value"].eqNullSafe(given["value"])
+    left = F.when(~same, F.filter(F.array(taken, given), lambda c: c.isNotNull()))
+    return ends.select(*keys, F.explode(left).alias("_change")).select(
+        F.col("_change.acc").alias(acc), *keys, F.col("_change.value").alias(value)
+    )
+
+
+def as_upserts(
+    changelog: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], acc: str = "acc"
+) -> DataFrame:
+    """A retracting changelog as the rows to write by key: the value of each key that has one in the end."""
+    ends = net_changes(changelog, keys, value, order, acc)
+    return ends.filter(acc).drop(acc)
+
+
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key, as an upsert by key leaves it."""
     rank = F.row_number().over(

@@ -80,17 +80,18 @@ def words(df: DataFrame, text: str, keep: Sequence[str] = (), word: str = "word"
     Blanks side by side have an empty word between them, and an empty line is one empty
     word.  Blanks at the end of a line, a final line break and an empty text add nothing.
     """
-    lines = F.split(F.regexp_replace(F.col(text), "\\r?\\n$", ""), "\\r?\\n")
-
-    def cut(line: Column) -> Column:
-        return (
-            F.when(line == "", F.array(F.lit("")))
-            .when(F.rtrim(line) == "", F.array().cast("array<string>"))
-            .otherwise(F.split(F.rtrim(line), " "))
-        )
-
-    read = df.filter(F.col(text) != "")
-    return read.select(*keep, F.explode(F.flatten(F.transform(lines, cut))).alias(word))
+    own = F.col(text)
+    # The expensive pattern is for texts that need it.
+    body = F.when(F.endswith(own, F.lit("\n")), F.regexp_replace(own, "\\r?\\n$", "")).otherwise(own)
+    lines = F.when(F.contains(own, F.lit("\r")), F.split(body, "\\r?\\n")).otherwise(F.split(body, "\n"))
+    line, trimmed = F.col("_line"), F.col("_trimmed")
+    cut = (
+        F.when(line == "", F.array(F.lit("")))
+        .when(trimmed == "", F.array().cast("array<string>"))
+        .otherwise(F.split(trimmed, " "))
+    )
+    read = df.filter(own != "").select(*keep, F.explode(lines).alias("_line"))
+    return read.withColumn("_trimmed", F.rtrim("_line")).select(*keep, F.explode(cut).alias(word))
 
 
 def distinct_words(df: DataFrame, text: str, word: str = "word") -> DataFrame:

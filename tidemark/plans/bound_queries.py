@@ -262,6 +262,14 @@ def retract_count_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.retract_count(rates, "hbdm", ARRIVAL, rows_per_task=_split(rates))
 
 
+@query
+def net_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog of counts, consolidated for every thousand arrivals."""
+    changes = changelog.retract_count(tables.rates(spark, sf_dir), "hbdm", ARRIVAL)
+    batched = changes.withColumn("batch", time.time_bucket("event_id", 1000))
+    return changelog.net_changes(batched, ["hbdm", "batch"], "cnt_num", ARRIVAL)
+
+
 @query
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = tables.rates(spark, sf_dir).select("user_id", "event_id", "ts", "hbdm", "num")
@@ -629,7 +637,7 @@ def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = tables.stream_rates(spark, sf_dir).select("user_id", "event_id", "ts", "hbdm", "num")
     base = sinks.run_folder(spark)
-    log = upsert.UpsertLog(f"{base}/data", ["user_id"], ARRIVAL)
+    log = upsert.CompactedLog(f"{base}/data", ["user_id"], ARRIVAL)
     sinks.drain(sinks.each_batch(rates, log, f"{base}/checkpoint"))
     return log.read(spark)
 

@@ -307,6 +307,13 @@ FROM (SELECT event_id, (ts // 1000)::VARCHAR || hbdm AS key FROM rate)
     "group_sum_sql": _with()
     + "SELECT hbdm, CAST(sum(num) AS BIGINT) AS sum_num FROM rate GROUP BY hbdm",
     "retract_count": _with(_RETRACT) + "SELECT acc, hbdm, cnt_num, event_id FROM changes",
+    "net_changelog": _with()
+    + """
+SELECT acc, hbdm, batch, CASE WHEN acc THEN total ELSE total - own END AS cnt_num FROM (
+  SELECT hbdm, batch, own, CAST(sum(own) OVER (PARTITION BY hbdm ORDER BY batch) AS BIGINT) AS total
+  FROM (SELECT hbdm, event_id // 1000 AS batch, count(num) AS own FROM rate GROUP BY ALL)
+), (SELECT unnest([true, false]) AS acc) WHERE acc OR total > own
+""",
     "upsert_latest": _with()
     + """
 SELECT user_id, event_id, ts, hbdm, num FROM (
