@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
 from tidemark.llm import bpe, decontaminate, jaccard, ship, substring, toxicity
 
+import public_tokenizers  # isort: skip  (without the subpackage above, its absence is what the import reports)
+
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
