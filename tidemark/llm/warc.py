@@ -306,7 +306,7 @@ def lookup(spark: SparkSession, index: DataFrame, asked: DataFrame, url_col: str
     questions = asked.select(F.col(url_col).alias("_url"), F.col(id_col).cast("long").alias("page_id"))
     captures = sum(r["captures"] for r in shards)
     cores = min(spark.sparkContext.defaultParallelism, math.ceil(captures / LEAST_LOOKUPS))
-    tasks = max(1, cores, math.ceil(captures / LOOKUPS_PER_TASK))
+    tasks = max(2, cores, math.ceil(captures / LOOKUPS_PER_TASK))
     keys = questions.mapInArrow(keyed, "key string, page_id long")
     ordered = keys.repartitionByRange(tasks, "key", "page_id").sortWithinPartitions("key", "page_id")
     return ordered.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
