@@ -345,7 +345,7 @@ def read_documents(spark: SparkSession, manifest: DataFrame, id_type: str = "lon
                     [id_col, "start", "n_tokens", "ids_crc32"],
                 )
 
-    return files.repartition(min(count, 1000 + count // 100)).mapInArrow(
+    return files.repartition(max(2, min(count, 1000 + count // 100))).mapInArrow(
         run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long"
     )
 
