@@ -100,15 +100,14 @@ def test_tiles_return_a_spanning_forest(tmp_path):
     base = [f"v{rng.randrange(400)}" for _ in range(120)]
     data, offsets = tx.buffers(pa.array([_edited(rng, base, rng.randrange(0, 3)) for _ in range(200)]))
     grams, sizes = jaccard.document_sets(tx.Text(data, offsets, lower=True), 3)
-    bits, words = jaccard.bitmaps(grams, sizes)
-    parts = [np.split(x.view(np.int64), np.cumsum(n)[:-1]) for x, n in ((grams, sizes), (bits, words))]
-    uri = store.write(f"file://{tmp_path}", ".grams", grams.astype("<u8").tobytes())
-    at = 8 * (np.cumsum(sizes) - sizes)
-    rows = pd.DataFrame({"node": np.arange(200), "root": np.arange(200) % 190, "n": sizes, "uri": uri, "at": at, "bits": parts[1]})
+    parts = np.split(grams, np.cumsum(sizes)[:-1])
+    data, at = jaccard._stored(grams, sizes)
+    uri = store.write(f"file://{tmp_path}", ".grams", data)
+    rows = pd.DataFrame({"node": np.arange(200), "root": np.arange(200) % 190, "n": sizes, "uri": uri, "at": at})
     links = jaccard._tile_links(rows, 9, 10)
     assert 0 < len(links) < 190
     for a, b in links.itertuples(index=False):
-        assert jaccard.reaches(len(set(parts[0][a]) & set(parts[0][b])), sizes[a], sizes[b], 9, 10)
+        assert jaccard.reaches(len(set(parts[a]) & set(parts[b])), sizes[a], sizes[b], 9, 10)
 
 
 def test_bitmaps_never_rule_a_link_out():

@@ -6,8 +6,8 @@
    n-grams, so of ``k + m + 1`` hash parts of the n-gram space at least ``m + 1`` hold the same
    n-grams in both.  Sets that share such parts meet under one key; no linked pair is missed,
    and unlike sets hardly ever meet.
-3. Key groups are searched without listing their pairs: first each member against one pivot
-   (copies join here).  Groups that still hold several components are merged where they share
+3. Key groups are searched without listing their pairs: in a few rounds each member meets one pivot of
+   each of its groups, which then leaves them (copies join here, small groups are done).  Groups that still hold several components are merged where they share
    one, so that a node is searched once whatever its number of keys, in bounded tiles of
    like sizes, block against block.  The bit counts of hashed bitmaps bound an overlap from
    above, and only pairs that can still reach the threshold get the exact intersection of their
@@ -22,12 +22,12 @@ class.  Extra columns stay outside.  N-grams are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import ship, store
@@ -41,6 +41,8 @@ TILE_ROWS = 2_048
 TILE_GRAMS = 1 << 21
 #: Bytes of a file of n-grams, and n-grams that a task keeps of them.
 GRAM_FILE_BYTES = 32 << 20
+#: Rounds in which every member meets the pivot of each of its groups, before groups become tiles.
+PIVOT_ROUNDS = 3
 CACHED_GRAMS = 1 << 23
 #: Most shared keys (eight bytes each) that are broadcast to find their members.
 KEY_ROWS = 4_000_000
@@ -192,9 +194,9 @@ def _unsigned(values: pa.Array) -> np.ndarray:
 def sets_of(
     docs: DataFrame, id_col: str, text_col: str, width: int, bands: Bands, folder: str | None = None
 ) -> DataFrame:
-    """``doc``, ``n``, ``node`` and the ``keys``; with a ``folder`` instead the ``bits``, and in its files the
-    sorted n-grams, found by ``uri`` and ``at``."""
-    extra = ["keys"] if folder is None else ["bits", "uri", "at"]
+    """``doc``, ``n``, ``node`` and the ``keys``; with a ``folder`` instead the place (``uri``, ``at``) of the
+    bitmap and the sorted n-grams in its files."""
+    extra = ["keys"] if folder is None else ["uri", "at"]
 
     def parts(batch: pa.RecordBatch) -> Iterator[tuple[list[pa.Array], np.ndarray, np.ndarray]]:
         for row, stop, t in tx.texts(batch.column(1), lower=True):
@@ -226,11 +228,10 @@ def sets_of(
 
         for batch in batches:
             for columns, grams, sizes in parts(batch):
-                bits, words = bitmaps(grams, sizes)
-                columns.append(tx.list_array(bits.view(np.int64), words, pa.int64()))
-                held.append((columns, size + 8 * (np.cumsum(sizes) - sizes)))
-                data.append(grams.astype("<u8").tobytes())
-                size += 8 * len(grams)
+                block, starts = _stored(grams, sizes)
+                held.append((columns, size + starts))
+                data.append(block)
+                size += len(block)
                 if size >= GRAM_FILE_BYTES:
                     yield from close()
                     held, data, size = [], [], 0
@@ -238,30 +239,45 @@ def sets_of(
             yield from close()
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    kinds = {"keys": "array<long>", "bits": "array<long>", "uri": "string", "at": "long"}
+    kinds = {"keys": "array<long>", "uri": "string", "at": "long"}
     schema = f"doc {id_type}, n long, node long, " + ", ".join(f"{c} {kinds[c]}" for c in extra)
     read = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     return read.mapInArrow(keyed if folder is None else written, schema)
 
 
-class Grams:
-    """N-grams of sets by range reads of their files; the latest ones stay in memory."""
+def _stored(grams: np.ndarray, sizes: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """For each set its bitmap, then its n-grams; and where each begins."""
+    bits, words = bitmaps(grams, sizes)
+    length = words + sizes
+    start = np.cumsum(length) - length
+    out = np.empty(int(length.sum()), "<u8")
+    owner = np.repeat(np.arange(len(sizes)), words)
+    out[np.arange(len(bits)) - (np.cumsum(words) - words)[owner] + start[owner]] = bits
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    out[np.arange(len(grams)) - (np.cumsum(sizes) - sizes)[owner] + (start + words)[owner]] = grams
+    return out.tobytes(), 8 * start
+
+
+class Sets:
+    """Bitmaps and n-grams of sets by range reads of their files; the latest ones stay in memory."""
 
     def __init__(self):
         self.files: dict[str, store.Ranges] = {}
-        self.sets: dict[tuple[str, int], np.ndarray] = {}
+        self.sets: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
         self.held = 0
 
-    def of(self, uri: str, at: int, n: int) -> np.ndarray:
+    def of(self, uri: str, at: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         found = self.sets.get((uri, at))
         if found is None:
             if uri not in self.files:
                 if len(self.files) >= 64:
                     self.files.pop(next(iter(self.files))).close()
                 self.files[uri] = store.Ranges(uri)
-            found = np.frombuffer(self.files[uri].read(at, 8 * n), "<u8")
+            words = int(bitmap_words(np.array([n]))[0])
+            data = np.frombuffer(self.files[uri].read(at, 8 * (words + n)), "<u8")
+            found = data[:words], data[words:]
             while self.sets and self.held + n > CACHED_GRAMS:
-                self.held -= len(self.sets.pop(next(iter(self.sets))))
+                self.held -= len(self.sets.pop(next(iter(self.sets)))[1])
             self.sets[uri, at] = found
             self.held += n
         return found
@@ -274,40 +290,27 @@ def _sides(pairs: DataFrame, sets: DataFrame, columns: tuple[str, ...]) -> DataF
     return pairs.select("a", "b", *[f"{c}_{side}" for c in columns for side in "ab"])
 
 
-def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose bitmaps do not rule a link out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = [np.asarray(batch.column(i), np.int64) for i in (2, 3)]
-            flat = [_unsigned(batch.column(i).flatten()) for i in (4, 5)]
-            words = [np.asarray(batch.column(i).value_lengths(), np.int64) for i in (4, 5)]
-            border = [np.concatenate([[0], np.cumsum(w)]) for w in words]
-            maybe = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                least = int(min(words[0][i], words[1][i]))
-                pair = [folded(f[e[i] : e[i + 1]], least) for f, e in zip(flat, border, strict=True)]
-                maybe[i] = _can_reach(*pair, sizes[0][i], sizes[1][i], num, den)
-            keep = pa.array(maybe, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
-
-    return _sides(pairs, sets, ("n", "bits")).mapInArrow(run, "a long, b long")
-
-
 def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs that the intersection of their sorted arrays shows to be linked."""
+    """The pairs that are linked: their bitmaps do not rule it out, and the intersection of their sorted
+    arrays shows it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams()
+        known = Sets()
         for batch in batches:
             keep = []
             for n_a, n_b, uri_a, uri_b, at_a, at_b in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
-                shared = _overlap(grams.of(uri_a, at_a, n_a), grams.of(uri_b, at_b, n_b))
-                keep.append(reaches(shared, n_a, n_b, num, den))
+                linked = reaches(min(n_a, n_b), n_a, n_b, num, den)
+                if linked:
+                    (bits_a, grams_a), (bits_b, grams_b) = known.of(uri_a, at_a, n_a), known.of(uri_b, at_b, n_b)
+                    width = min(len(bits_a), len(bits_b))
+                    linked = _can_reach(folded(bits_a, width), folded(bits_b, width), n_a, n_b, num, den) and reaches(
+                        _overlap(grams_a, grams_b), n_a, n_b, num, den
+                    )
+                keep.append(bool(linked))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    # Neighbours of one pivot follow each other, so its set is read once.
+    # Pairs with one pivot follow each other, so its set is read once.
     return _sides(pairs, sets, ("n", "uri", "at")).sortWithinPartitions("b", "a").mapInArrow(run, "a long, b long")
 
 
@@ -336,17 +339,17 @@ def _tile_links(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     forest = _Forest(rows["root"].to_numpy())
     # Sets of like sizes have like widths; the narrowest of the tile is used for all.
     width = int(bitmap_words(sizes).min(initial=1 << 40))
-    bits = np.stack([folded(np.asarray(x, np.int64).view(np.uint64), width) for x in rows["bits"]])
     files, ats = rows["uri"].tolist(), rows["at"].tolist()
-    grams = Grams()
-    own = lambda i: grams.of(files[i], ats[i], int(sizes[i]))
+    known = Sets()
+    own = lambda i: known.of(files[i], ats[i], int(sizes[i]))
+    bits = np.stack([folded(own(i)[0], width) for i in range(len(rows))])
     links = []
     for i in range(len(rows)):
         stop = int(np.searchsorted(sizes, sizes[i] * den // num, "right"))
         others = forest.apart(i, np.arange(i + 1, stop))
         others = others[_can_reach(bits[i], bits[others], sizes[i], sizes[others], num, den)]
         for j in others.tolist():
-            if forest.of[i] != forest.of[j] and reaches(_overlap(own(i), own(j)), sizes[i], sizes[j], num, den):
+            if forest.of[i] != forest.of[j] and reaches(_overlap(own(i)[1], own(j)[1]), sizes[i], sizes[j], num, den):
                 forest.join(i, j)
                 links.append((nodes[i], nodes[j]))
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
@@ -369,12 +372,11 @@ def _apart(members: DataFrame) -> DataFrame:
 
 
 def _pivot_pairs(apart: DataFrame) -> DataFrame:
-    """One pair for each member: with the first of the pivots of its groups."""
+    """Each member with the pivot of each of its groups, but those that are joined already."""
+    roots = apart.where(F.col("node") == F.col("_pivot")).select(F.col("key").alias("_k"), F.col("root").alias("_pr")).distinct()
     return (
-        apart.where(F.col("node") != F.col("_pivot"))
-        .groupBy("node")
-        .agg(F.min(F.struct(F.hash("_pivot", F.lit(5)), F.col("_pivot"))).alias("_first"))
-        .select(F.col("node").alias("a"), F.col("_first._pivot").alias("b"))
+        apart.where(F.col("node") != F.col("_pivot")).join(roots, F.col("key") == F.col("_k")).where("root <> _pr")
+        .select(F.col("node").alias("a"), F.col("_pivot").alias("b")).distinct()
     )
 
 
@@ -390,26 +392,36 @@ def _fields(members: DataFrame, keep) -> DataFrame:
 
 def _tiles(fields: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links across components inside fields, block against block of like sizes."""
-    sized = fields.join(sets.select("node", "n"), "node")
-    told = sized.groupBy("field").agg(F.count(F.lit(1)).alias("_m"), F.sum("n").alias("_g")).select(
-        F.col("field").alias("_field"),
-        F.greatest(F.ceil(F.col("_m") / F.lit(TILE_ROWS)), F.ceil(F.col("_g") / F.lit(TILE_GRAMS))).cast("long").alias("blocks"),
+    # Classes are narrower than the threshold, so links reach the next class at most.
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("long")
+    sized = fields.join(sets.select("node", "n", "uri", "at"), "node").withColumn("c", size_class)
+    needed = F.greatest(F.ceil(F.sum("_m") / F.lit(TILE_ROWS)), F.ceil(F.sum("_g") / F.lit(TILE_GRAMS))).cast("long")
+    told = sized.groupBy("field", "c").agg(F.count(F.lit(1)).alias("_m"), F.sum("n").alias("_g"))
+    small = told.groupBy("field").agg(needed.alias("_all"))
+    own = told.groupBy("field", "c").agg(needed.alias("_own"))
+    blocks = own.join(small, "field")
+    for side, step in (("_down", -1), ("_up", 1)):
+        beside = own.select("field", (F.col("c") - step).alias("c"), F.col("_own").alias(side))
+        blocks = blocks.join(beside, ["field", "c"], "left")
+    placed = sized.join(blocks, ["field", "c"]).withColumn("share", F.pmod(F.xxhash64("node", F.lit(3)), F.col("_own")))
+
+    def tiles(count: str, at: Callable) -> Column:
+        none = F.array().cast("array<struct<c:bigint,up:int,s:bigint,t:bigint>>")
+        return F.coalesce(F.transform(F.sequence(F.lit(0).cast("long"), F.col(count) - 1), at), none)
+
+    def tile(c: Column, up: int, s: Column, t: Column) -> Column:
+        return F.struct(c.cast("long").alias("c"), F.lit(up).alias("up"), s.cast("long").alias("s"), t.cast("long").alias("t"))
+
+    # Tile (c, s, t): shares s and t of class c, and share s of class c with share t of class c + 1.
+    share, c, zero = F.col("share"), F.col("c"), F.lit(0)
+    several = F.concat(
+        tiles("_own", lambda t: tile(c, 0, F.least(share, t), F.greatest(share, t))),
+        tiles("_up", lambda t: tile(c, 1, share, t)),
+        tiles("_down", lambda t: tile(c - 1, 1, t, share)),
     )
-    # A block of a large field is a hash share of one size class; classes are narrower than the threshold.
-    placed = sized.join(told, F.col("field") == F.col("_field")).withColumns(
-        {"size_class": F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("long"), "share": F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks"))}
-    )
-    # Tile (c, s, t): shares s and t of class c, and of class c with class c + 1.
-    shares = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    own = F.transform(shares, lambda t: F.struct(
-        F.col("size_class").alias("c"), F.lit(0).alias("up"), F.least("share", t).alias("s"), F.greatest("share", t).alias("t")))
-    upward = F.transform(shares, lambda t: F.struct(
-        F.col("size_class").alias("c"), F.lit(1).alias("up"), F.col("share").alias("s"), t.alias("t")))
-    downward = F.transform(shares, lambda t: F.struct(
-        (F.col("size_class") - 1).alias("c"), F.lit(1).alias("up"), t.alias("s"), F.col("share").alias("t")))
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("c"), F.lit(0).alias("up"), F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("t")))
-    dealt = placed.withColumn("tile", F.explode(F.when(F.col("blocks") == 1, whole).otherwise(F.concat(own, upward, downward))))
-    rows = dealt.select("field", "tile.*", "node", "root").join(sets.select("node", "n", "bits", "uri", "at"), "node")
+    # A small field is one tile.
+    dealt = placed.withColumn("tile", F.explode(F.when(F.col("_all") == 1, F.array(tile(zero, 0, zero, zero))).otherwise(several)))
+    rows = dealt.select("field", "tile.*", "node", "root", "n", "uri", "at")
     return rows.groupBy("field", "c", "up", "s", "t").applyInPandas(
         lambda group: _tile_links(group, num, den), "a long, b long"
     )
@@ -445,18 +457,21 @@ def classes(
     sets = scratch.keep(sets_of(read, "_doc", "_text", width, bands, f"{scratch.folder}/grams").drop("doc"))
 
     links = roots = None
-    for _ in range(2):
+    for _ in range(PIVOT_ROUNDS):
         apart = scratch.keep(_apart(_with_roots(members, roots)))
-        pairs = scratch.keep(_possible(_pivot_pairs(apart), sets, num, den))
-        found = scratch.keep(_linked(pairs, sets, num, den))
+        if not apart.limit(1).count():
+            break
+        found = scratch.keep(_linked(_pivot_pairs(apart), sets, num, den))
         links = found if links is None else links.unionByName(found)
         roots = scratch.keep(components(links, keep=scratch.keep))
-        members = apart.select("key", "node")
+        # A pivot has met all of its group.
+        members = apart.where(F.col("node") != F.col("_pivot")).select("key", "node")
     rest = scratch.keep(_apart(_with_roots(members, roots)).drop("_pivot"))
     fields = scratch.keep(_fields(rest, scratch.keep))
     found = scratch.keep(_tiles(fields, sets, num, den))
     if found.limit(1).count():
-        roots = scratch.keep(components(links.unionByName(found), keep=scratch.keep))
+        links = found if links is None else links.unionByName(found)
+        roots = scratch.keep(components(links, keep=scratch.keep))
 
     flat = keyed.select("doc", "n", "node")
     rooted = _with_roots(flat, roots)
