@@ -91,6 +91,9 @@ class Scratch:
     def result(self, df: DataFrame) -> DataFrame:
         """Write the result outside the folder, then remove the folder."""
         kept = session.checkpointed(df)
+        self.remove()
+        return kept
+
+    def remove(self) -> None:
         at = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
-        return kept

@@ -4,8 +4,8 @@ A word is the bag of its hashed character n-grams and of itself, so an unseen sp
 shares most of its vectors with the spellings the model knows.  The vectors are averaged
 over a word, the words over the document, and a linear softmax reads the average; the
 vectors and the softmax are trained together, in numpy, on a bounded sample of labelled
-documents.  The buckets of the sample are counted by the tasks, over whole texts; the driver
-gets numbers alone, at most ``SAMPLE_POSITIVE + SAMPLE_NEGATIVE`` rows of ``FEATURES``
+documents.  The buckets of the sample are counted by the tasks, over whole texts, and written
+to files; the driver reads numbers alone, at most ``SAMPLE_POSITIVE + SAMPLE_NEGATIVE`` rows of ``FEATURES``
 buckets.  Scoring is linear in the words, so it needs one number per bucket, and whole
 texts of any length are scored where they lie.
 
@@ -19,6 +19,7 @@ whatever their names.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import ship, store
 from tidemark.llm import text as tx
 
 #: Most labelled documents of each class that are learnt from.
@@ -152,6 +154,8 @@ def _unpacked(data: bytes, held: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(np.frombuffer(raw, "<u4", held)), np.frombuffer(raw, "<f2", held, 4 * held)
 
 
+#: Bytes of a file of features.
+FEATURE_FILE_BYTES = 16 << 20
 #: Features that are worked on at once where all are.
 _STRETCH = 1 << 20
 
@@ -256,26 +260,49 @@ def sample(
     read = texts.join(F.broadcast(chosen), "_id").select("_text", "_id", "_y", F.xxhash64("_text").alias("_hash"))
     id_type = read.schema["_id"].dataType.simpleString()
 
+    scratch = ship.Scratch(docs.sparkSession)
+    folder = scratch.folder
+    names = ["_id", "_y", "_hash", "held", "uri", "at", "length"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[list[pa.Array], list[int], list[bytes]]] = []
+        size = 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            uri = store.write(folder, ".features", b"".join(b for *_, packed in waiting for b in packed))
+            at = 0
+            for columns, held, packed in waiting:
+                lengths = np.array([len(b) for b in packed], np.int64)
+                place = [pa.array(held, pa.int32()), pa.array([uri] * len(held), pa.string()), pa.array(at + np.cumsum(lengths) - lengths)]
+                yield pa.RecordBatch.from_arrays([*columns, *place, pa.array(lengths)], names)
+                at += int(lengths.sum())
+
         for batch in batches:
             for row, stop, t in tx.texts(batch.column(0), lower=True):
                 own = list(features(t))
-                columns = [batch.column(i).slice(row, stop - row) for i in (1, 2, 3)]
-                columns.append(pa.array([len(b) for b, _ in own], pa.int32()))
-                columns.append(pa.array([_packed(b, w) for b, w in own], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["_id", "_y", "_hash", "held", "packed"])
-
-    counted = read.mapInArrow(run, f"_id {id_type}, _y int, _hash long, held int, packed binary")
-    one = F.min(F.struct("_hash", "held", "packed")).alias("one")
-    rows = (
-        counted.groupBy("_id", "_y").agg(one)
-        .select(F.xxhash64("_id").alias("at"), F.col("_id"), F.col("_y"), "one.held", "one.packed").collect()
-    )
+                packed = [_packed(b, w) for b, w in own]
+                waiting.append(([batch.column(i).slice(row, stop - row) for i in (1, 2, 3)], [len(b) for b, _ in own], packed))
+                size += sum(map(len, packed))
+                if size >= FEATURE_FILE_BYTES:
+                    yield from close()
+                    waiting, size = [], 0
+        if waiting:
+            yield from close()
+
+    # The driver gets the places of the features from Spark, and the features from their files.
+    counted = read.mapInArrow(run, f"_id {id_type}, _y int, _hash long, held int, uri string, at long, length long")
+    one = F.min(F.struct("_hash", *names[3:])).alias("one")
+    rows = counted.groupBy("_id", "_y").agg(one).select(F.xxhash64("_id").alias("at"), "_id", "_y", "one").collect()
     rows.sort(key=lambda r: (r["at"], r["_id"], r["_y"]))
-    border = np.concatenate([[0], np.cumsum([r["held"] for r in rows], dtype=np.int64)]).astype(np.int64)
+    border = np.concatenate([[0], np.cumsum([r["one"]["held"] for r in rows], dtype=np.int64)]).astype(np.int64)
     buckets, weights = np.empty(border[-1], np.int32), np.empty(border[-1], np.float32)
-    for r, a, b in zip(rows, border.tolist(), border[1:].tolist()):
-        buckets[a:b], weights[a:b] = _unpacked(r["packed"], r["held"])
+    places = zip(rows, border.tolist(), border[1:].tolist())
+    for uri, own in itertools.groupby(sorted(places, key=lambda p: (p[0]["one"]["uri"], p[1])), key=lambda p: p[0]["one"]["uri"]):
+        file = store.Ranges(uri)
+        for r, a, b in own:
+            buckets[a:b], weights[a:b] = _unpacked(file.read(r["one"]["at"], r["one"]["length"]), b - a)
+        file.close()
+    scratch.remove()
     toxic = np.array([r["_y"] == 1 for r in rows], bool)
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     return buckets, weights, border, toxic, share
