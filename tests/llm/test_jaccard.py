@@ -95,6 +95,58 @@ def test_large_group_of_near_copies_uses_tiles(spark, monkeypatch):
     assert _found(spark, rows) == _classes(rows)
 
 
+def test_unlike_sets_share_no_keys():
+    """Parts that are empty in both sides bring no sets together that hold n-grams enough."""
+    rng = np.random.default_rng(7)
+    sizes = rng.integers(243, 365, 400)
+    grams = rng.integers(0, 1 << 62, int(sizes.sum())).astype(np.uint64)
+    keys = jaccard.part_keys(grams, sizes, jaccard.Bands(4, 5))[0]
+    assert len(np.unique(keys)) >= len(keys) - 5
+
+
+@pytest.mark.parametrize("num, den", [(9, 10), (4, 5), (1, 2)])
+def test_linked_sets_share_more_keys_than_are_left_out(num, den):
+    rng = np.random.default_rng(8)
+    bands = jaccard.Bands(num, den)
+    edges = [int(u) + d for u in bands.upper[:14] for d in (-1, 0, 1)]
+    for a in [1, 2, 3, 4, 6, 7, 9, 12, 15, 29, 40, *edges, *rng.integers(1, 3000, 60).tolist()]:
+        for b in {a, a + a // 20, min(a * den // num, a + rng.integers(0, a + 1)), a * den // num}:
+            shared = -(-num * (a + b) // (num + den))
+            if not 0 < a <= b or shared > a or shared == b:
+                continue
+            assert jaccard.reaches(shared, a, b, num, den)
+            grams = rng.integers(0, 1 << 62, a + b - shared).astype(np.uint64)
+            sets = np.concatenate([grams[:a], grams[a - shared :]])
+            keys, counts, more = jaccard.part_keys(sets, np.array([a, b]), bands)
+            common = np.intersect1d(keys[: counts[0]], keys[counts[0] :])
+            step = int(bands.of(np.array([b]))[0] - bands.of(np.array([a]))[0])
+            assert len(common) > max(more[0, step], more[1, 0])
+
+
+def test_common_lines_do_not_merge_fields(spark, monkeypatch):
+    """Groups of near sets that a common passage bridges are searched one by one."""
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(40)]
+    rows = []
+    for group in range(30):
+        base = [f"g{group}w{i}" for i in range(rng.randrange(230, 330))]
+        for _ in range(6):
+            words = _edited(rng, base, rng.randrange(5, 16)).split()
+            rows.append((len(rows), " ".join(words + common)))
+    fields = []
+    found = jaccard._fields
+
+    def told(*args):
+        out = found(*args)
+        fields.extend(out.groupBy("field").count().toPandas()["count"])
+        return out
+
+    monkeypatch.setattr(jaccard, "_fields", told)
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", 1)
+    assert _found(spark, rows, width=5, threshold=(4, 5)) == _classes(rows, 4, 5, 5)
+    assert max(fields) <= 18
+
+
 def test_tiles_return_a_spanning_forest(tmp_path):
     rng = random.Random(6)
     base = [f"v{rng.randrange(400)}" for _ in range(120)]

@@ -5,7 +5,8 @@
 2. Sets of similar size share a *size band*.  In a band, linked sets differ in at most *k*
    n-grams, so of ``k + m + 1`` hash parts of the n-gram space at least ``m + 1`` hold the same
    n-grams in both.  Sets that share such parts meet under one key; no linked pair is missed,
-   and unlike sets hardly ever meet.
+   and unlike sets hardly ever meet.  Parts that are empty in both count only for sets with so few others
+   that all could differ.  As linked sets share several keys, each node leaves its most frequent ones out.
 3. Key groups are searched without listing their pairs: in a few rounds each member meets one pivot of
    each of its groups, which then leaves them (copies join here, small groups are done).  Groups that still hold several components are merged where they share
    one, so that a node is searched once whatever its number of keys, in bounded tiles of
@@ -27,7 +28,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import ship, store
@@ -44,12 +45,16 @@ GRAM_FILE_BYTES = 32 << 20
 #: Rounds in which every member meets the pivot of each of its groups, before groups become tiles.
 PIVOT_ROUNDS = 3
 CACHED_GRAMS = 1 << 23
-#: Most shared keys (eight bytes each) that are broadcast to find their members.
-KEY_ROWS = 4_000_000
+#: Most shared keys (sixteen bytes each, with their counts) that are broadcast to find their members.
+KEY_ROWS = 2_000_000
 _KEY_BITS = (1 << 48) - 1
+#: The first bits of a key are its band.
+_BAND_SHIFT = 57
 _BAND_RATIO = 1.5
 #: Up to so many differing n-grams, keys are made of two parts instead of one.
 _PAIRED_UP_TO = 14
+#: One part more for so many differing n-grams, all of which linked sets share.
+_SPARE_EACH = 12
 
 
 class Bands:
@@ -63,7 +68,7 @@ class Bands:
         self.upper = np.array(upper, np.int64)
         self.differing = 2 * self.upper * (den - num) // (den + num)
         self.joined = np.where(self.differing <= _PAIRED_UP_TO, 2, 1)
-        self.parts = self.differing + self.joined + 1
+        self.parts = self.differing + self.joined + 1 + np.where(self.joined == 1, self.differing // _SPARE_EACH, 0)
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.upper, size)
@@ -98,9 +103,15 @@ def _node(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return tx.mix_with(total[border[1:]] - total[border[:-1]], sizes)
 
 
-def part_keys(grams: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all documents, and how many each has."""
+def _banded(keys: np.ndarray, band: np.ndarray) -> np.ndarray:
+    return keys >> np.uint64(64 - _BAND_SHIFT) | band.astype(np.uint64) << np.uint64(_BAND_SHIFT)
+
+
+def part_keys(grams: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all documents, how many each has, and for each band from the document's own on how many more
+    than one it shares at least with every set it links with."""
     low, high = bands.of(sizes), bands.last(sizes)
+    more = np.zeros((len(sizes), int((high - low).max(initial=0)) + 1), np.int64)
     keys, owners = [], []
     border = np.concatenate([[0], np.cumsum(sizes)])
     for step in range(int((high - low).max(initial=0)) + 1):
@@ -120,25 +131,32 @@ def part_keys(grams: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.nd
         doc_of = np.repeat(np.arange(len(docs)), parts)
         index = np.arange(len(doc_of)) - place[doc_of]
         empty = held == 0
-        # Shared parts that are all empty matter only to sets with so many empty parts.
-        many_empty = np.bincount(doc_of[empty], minlength=len(docs)) > joined
-        single = (joined[doc_of] == 1) & (~empty | many_empty[doc_of])
+        # Links of a set of this size in this band differ in so many n-grams at most, each of which spoils one
+        # part.  A set with more parts that hold n-grams than that shares one of them with all it links with;
+        # others, hardly any, need shared parts that are empty as well.
+        n, upper = sizes[docs], bands.upper[np.minimum(band, len(bands.upper) - 1)]
+        differing = (n + np.minimum(upper, n * bands.den // max(1, bands.num))) * (bands.den - bands.num) // (bands.den + bands.num)
+        full = parts - np.bincount(doc_of[empty], minlength=len(docs))
+        single = (joined[doc_of] == 1) & (~empty | (full <= differing)[doc_of])
+        spared = np.maximum(0, full - differing)
+        more[docs, step] = np.maximum(1, np.where(joined == 1, spared, spared * (spared - 1) // 2)) - 1
         content = tx.mix_with(content, index + 1000 * band[doc_of])
-        keys.append(tx.mix_with(content[single], 17))
+        keys.append(_banded(tx.mix_with(content[single], 17), band[doc_of[single]]))
         owners.append(docs[doc_of[single]])
         for p in np.unique(parts[joined == 2]).tolist():
             members = np.flatnonzero((parts == p) & (joined == 2))
             rows = place[members][:, None] + np.arange(p)[None, :]
             i, j = np.triu_indices(p, 1)
             both = tx.mix_with(content[rows[:, i]], 19) + content[rows[:, j]]
-            use = ~(empty[rows[:, i]] & empty[rows[:, j]]) | many_empty[members][:, None]
-            keys.append(tx.mix(both)[use])
+            # Two shared parts with n-grams, one, or none, by what the spoiled ones leave.
+            use = np.minimum(2, spared[members])[:, None] <= 2 - empty[rows[:, i]].astype(np.int64) - empty[rows[:, j]]
+            keys.append(_banded(tx.mix(both)[use], np.repeat(band[members], use.sum(axis=1))))
             owners.append(np.repeat(docs[members], use.sum(axis=1)))
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(len(sizes), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(sizes), np.int64), more
     keys, owners = np.concatenate(keys), np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
-    return keys[order], np.bincount(owners, minlength=len(sizes))
+    return keys[order], np.bincount(owners, minlength=len(sizes)), more
 
 
 def bitmap_words(sizes: np.ndarray) -> np.ndarray:
@@ -194,9 +212,9 @@ def _unsigned(values: pa.Array) -> np.ndarray:
 def sets_of(
     docs: DataFrame, id_col: str, text_col: str, width: int, bands: Bands, folder: str | None = None
 ) -> DataFrame:
-    """``doc``, ``n``, ``node`` and the ``keys``; with a ``folder`` instead the place (``uri``, ``at``) of the
-    bitmap and the sorted n-grams in its files."""
-    extra = ["keys"] if folder is None else ["uri", "at"]
+    """``doc``, ``n``, ``node`` and the ``keys``, with the ``band`` and ``more`` of ``part_keys``; with a ``folder``
+    instead the place (``uri``, ``at``) of the bitmap and the sorted n-grams in its files."""
+    extra = ["keys", "band", "more"] if folder is None else ["uri", "at"]
 
     def parts(batch: pa.RecordBatch) -> Iterator[tuple[list[pa.Array], np.ndarray, np.ndarray]]:
         for row, stop, t in tx.texts(batch.column(1), lower=True):
@@ -211,8 +229,10 @@ def sets_of(
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for columns, grams, sizes in parts(batch):
-                keys, counts = part_keys(grams, sizes, bands)
+                keys, counts, more = part_keys(grams, sizes, bands)
                 columns.append(tx.list_array(keys.view(np.int64), counts, pa.int64()))
+                columns.append(pa.array(bands.of(sizes), pa.int64()))
+                columns.append(tx.list_array(more.ravel(), np.full(len(sizes), more.shape[1]), pa.int64()))
                 yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "node", *extra])
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +259,7 @@ def sets_of(
             yield from close()
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    kinds = {"keys": "array<long>", "uri": "string", "at": "long"}
+    kinds = {"keys": "array<long>", "band": "long", "more": "array<long>", "uri": "string", "at": "long"}
     schema = f"doc {id_type}, n long, node long, " + ", ".join(f"{c} {kinds[c]}" for c in extra)
     read = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     return read.mapInArrow(keyed if folder is None else written, schema)
@@ -363,6 +383,20 @@ def _with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     )
 
 
+def _band() -> Column:
+    return F.shiftrightunsigned("key", _BAND_SHIFT)
+
+
+def _needed(members: DataFrame) -> DataFrame:
+    """``key`` and ``node`` without the ``more`` most frequent keys of each node and band.
+
+    Linked sets share ``more`` keys and one.  All order keys alike, so the rarest that they share stays in both;
+    what only frequent n-grams bring together falls apart.
+    """
+    frequent = Window.partitionBy("node", _band()).orderBy(F.desc("_c"), "key")
+    return members.withColumn("_rank", F.dense_rank().over(frequent)).where("_rank > more").select("key", "node")
+
+
 def _apart(members: DataFrame) -> DataFrame:
     """Members of key groups that more than one component shares."""
     groups = members.groupBy("key").agg(
@@ -444,13 +478,16 @@ def classes(
     copies = keyed.select("doc", "node").join(copied.select(F.col("node").alias("_node"), "_least"), F.col("node") == F.col("_node")).where(
         "doc <> _least").select(F.col("doc").alias("_copy")).distinct()
     standing = keyed.join(ship.measured(copies, keep=scratch.keep), F.col("doc") == F.col("_copy"), "left_anti")
-    exploded = standing.select(F.explode("keys").alias("key"), "node").withColumn("_low", F.col("key").bitwiseAND(_KEY_BITS))
+    exploded = standing.select(F.explode("keys").alias("key"), "node", "band", "more").select(
+        "key", "node", F.get("more", (_band() - F.col("band")).cast("int")).alias("more"), F.col("key").bitwiseAND(_KEY_BITS).alias("_low")
+    )
     # Most keys occur once: they go by their lower bits alone, which tell nearly all apart.
-    shared = exploded.groupBy("_low").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_low")
-    members = scratch.keep(exploded.join(ship.measured(shared, KEY_ROWS, scratch.keep), "_low").select("key", "node"))
+    shared = exploded.groupBy("_low").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1")
+    members = _needed(exploded.join(ship.measured(shared, KEY_ROWS, scratch.keep), "_low"))
+    apart = scratch.keep(_apart(_with_roots(members, None)))
 
     # The sets of those nodes alone are built once more, from one document of each.
-    nodes = members.select(F.col("node").alias("_node")).distinct()
+    nodes = apart.select(F.col("node").alias("_node")).distinct()
     chosen = keyed.select("doc", "node").join(nodes, F.col("node") == F.col("_node")).groupBy("node").agg(F.min("doc").alias("_doc")).select("_doc")
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     read = texts.join(ship.measured(chosen, keep=scratch.keep), "_doc", "left_semi")
@@ -458,7 +495,6 @@ def classes(
 
     links = roots = None
     for _ in range(PIVOT_ROUNDS):
-        apart = scratch.keep(_apart(_with_roots(members, roots)))
         if not apart.limit(1).count():
             break
         found = scratch.keep(_linked(_pivot_pairs(apart), sets, num, den))
@@ -466,8 +502,8 @@ def classes(
         roots = scratch.keep(components(links, keep=scratch.keep))
         # A pivot has met all of its group.
         members = apart.where(F.col("node") != F.col("_pivot")).select("key", "node")
-    rest = scratch.keep(_apart(_with_roots(members, roots)).drop("_pivot"))
-    fields = scratch.keep(_fields(rest, scratch.keep))
+        apart = scratch.keep(_apart(_with_roots(members, roots)))
+    fields = scratch.keep(_fields(apart, scratch.keep))
     found = scratch.keep(_tiles(fields, sets, num, den))
     if found.limit(1).count():
         links = found if links is None else links.unionByName(found)
